@@ -1,0 +1,263 @@
+"""LSTM and GRU one-step-ahead forecasts: one small network per area and configuration, trained side by side.
+
+Spark prepares, labels and distributes the series and scores the results; a task holds one area's
+series and one network.
+"""
+
+from __future__ import annotations
+
+import time
+import zlib
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+
+from gridpulse.functions.scalars import clip_at_zero
+from gridpulse.operators.preparation import Split, labelled, unscaled
+from gridpulse.session import ship_package
+
+CELLS = ("LSTM", "GRU")
+FITS = (
+    "area_id int, cell string, lookback int, units int, epochs_run int, n_params long, best_val_loss double, "
+    "train_time_s double, predict_time_s double, "
+    "loss array<double>, mae array<double>, val_loss array<double>, val_mae array<double>, "
+    "ts array<timestamp_ntz>, y_true array<double>, scaled_pred array<double>, offset double, scale double"
+)
+
+
+class Training(NamedTuple):
+    layers: int = 1
+    dropout: float = 0.2
+    epochs: int = 40
+    batch_size: int = 64
+    patience: int = 8
+    learning_rate: float = 0.001
+    seed: int = 42
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1.0 + np.tanh(0.5 * x))
+
+
+def new_weights(cell: str, units: int, layers: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """Per layer input kernel, recurrent kernel and bias; then the output kernel and bias."""
+    gates = 4 if cell == "LSTM" else 3
+    out: list[np.ndarray] = []
+    width = 1
+    for _ in range(layers):
+        limit = np.sqrt(6.0 / (width + gates * units))
+        basis, r = np.linalg.qr(rng.standard_normal((gates * units, units)))
+        bias = np.zeros((1 if cell == "LSTM" else 2, gates * units))
+        if cell == "LSTM":
+            bias[0, units: 2 * units] = 1.0
+        out += [rng.uniform(-limit, limit, (width, gates * units)), (basis * np.sign(np.diag(r))).T.copy(), bias]
+        width = units
+    limit = np.sqrt(6.0 / (units + 1))
+    return [*out, rng.uniform(-limit, limit, (units, 1)), np.zeros((1, 1))]
+
+
+def _lstm_forward(x: np.ndarray, kernel, recurrent, bias):
+    units = recurrent.shape[0]
+    h = c = np.zeros((len(x), units), x.dtype)
+    fed, outs, tape = x @ kernel + bias[0], [], []
+    for t in range(x.shape[1]):
+        z = fed[:, t] + h @ recurrent
+        gates = _sigmoid(z)
+        i, f, o = gates[:, :units], gates[:, units: 2 * units], gates[:, 3 * units:]
+        g = np.tanh(z[:, 2 * units: 3 * units])
+        before, held = h, c
+        c = f * held + i * g
+        squashed = np.tanh(c)
+        h = o * squashed
+        outs.append(h)
+        tape.append((before, held, i, f, g, o, squashed))
+    return np.stack(outs, axis=1), tape
+
+
+def _lstm_backward(x, tape, grad_out, kernel, recurrent, bias):
+    dz_all = np.empty((*grad_out.shape[:2], recurrent.shape[1]), x.dtype)
+    d_rec, dh, dc = np.zeros_like(recurrent), 0.0, 0.0
+    for t in reversed(range(len(tape))):
+        before, held, i, f, g, o, squashed = tape[t]
+        dh = dh + grad_out[:, t]
+        dc = dc + dh * o * (1.0 - squashed ** 2)
+        dz = np.concatenate([dc * g * i * (1 - i), dc * held * f * (1 - f), dc * i * (1 - g ** 2),
+                             dh * squashed * o * (1 - o)], axis=1)
+        dz_all[:, t] = dz
+        d_rec += before.T @ dz
+        dh, dc = dz @ recurrent.T, dc * f
+    return dz_all @ kernel.T, [np.einsum("bti,btj->ij", x, dz_all), d_rec, dz_all.sum(axis=(0, 1))[None]]
+
+
+def _gru_forward(x: np.ndarray, kernel, recurrent, bias):
+    units = recurrent.shape[0]
+    h = np.zeros((len(x), units), x.dtype)
+    fed, outs, tape = x @ kernel + bias[0], [], []
+    for t in range(x.shape[1]):
+        back = h @ recurrent + bias[1]
+        gates = _sigmoid(fed[:, t, : 2 * units] + back[:, : 2 * units])
+        z, r = gates[:, :units], gates[:, units:]
+        inner = back[:, 2 * units:]
+        n = np.tanh(fed[:, t, 2 * units:] + r * inner)
+        before = h
+        h = z * before + (1.0 - z) * n
+        outs.append(h)
+        tape.append((before, z, r, inner, n))
+    return np.stack(outs, axis=1), tape
+
+
+def _gru_backward(x, tape, grad_out, kernel, recurrent, bias):
+    d_fed = np.empty((*grad_out.shape[:2], recurrent.shape[1]), x.dtype)
+    d_rec, d_back_bias, dh = np.zeros_like(recurrent), np.zeros(recurrent.shape[1], x.dtype), 0.0
+    for t in reversed(range(len(tape))):
+        before, z, r, inner, n = tape[t]
+        dh = dh + grad_out[:, t]
+        dn = dh * (1.0 - z) * (1.0 - n ** 2)
+        dz = dh * (before - n) * z * (1.0 - z)
+        dr = dn * inner * r * (1.0 - r)
+        d_fed[:, t] = np.concatenate([dz, dr, dn], axis=1)
+        d_back = np.concatenate([dz, dr, dn * r], axis=1)
+        d_rec += before.T @ d_back
+        d_back_bias += d_back.sum(axis=0)
+        dh = dh * z + d_back @ recurrent.T
+    d_bias = np.stack([d_fed.sum(axis=(0, 1)), d_back_bias])
+    return d_fed @ kernel.T, [np.einsum("bti,btj->ij", x, d_fed), d_rec, d_bias]
+
+
+_STEPS = {"LSTM": (_lstm_forward, _lstm_backward), "GRU": (_gru_forward, _gru_backward)}
+
+
+def predict(cell: str, weights: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    seen = x
+    for at in range(0, len(weights) - 2, 3):
+        seen, _ = _STEPS[cell][0](seen, *weights[at: at + 3])
+    return (seen[:, -1] @ weights[-2] + weights[-1])[:, 0]
+
+
+def gradients(cell: str, weights: list[np.ndarray], x: np.ndarray, y: np.ndarray,
+              keep: np.ndarray | float = 1.0) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Predictions and gradients of the mean squared error; ``keep`` is the dropout mask of the last state."""
+    forward, backward = _STEPS[cell]
+    seen, inputs, tapes = x, [], []
+    for at in range(0, len(weights) - 2, 3):
+        inputs.append(seen)
+        seen, tape = forward(seen, *weights[at: at + 3])
+        tapes.append(tape)
+    last = seen[:, -1] * keep
+    out = (last @ weights[-2] + weights[-1])[:, 0]
+    d_out = (2.0 / len(y) * (out - y))[:, None]
+    found = [last.T @ d_out, d_out.sum(axis=0, keepdims=True)]
+    upstream = np.zeros_like(seen)
+    upstream[:, -1] = (d_out @ weights[-2].T) * keep
+    for level in reversed(range(len(tapes))):
+        upstream, grads = backward(inputs[level], tapes[level], upstream, *weights[3 * level: 3 * level + 3])
+        found = [*grads, *found]
+    return out, found
+
+
+def train(cell: str, units: int, data: dict[str, tuple[np.ndarray, np.ndarray]], how: Training,
+          seed: int) -> tuple[list[np.ndarray], dict[str, list[float]]]:
+    """Adam on the squared error; stops when the validation loss stalls and returns its best weights."""
+    rng = np.random.default_rng(seed)
+    weights = [w.astype(np.float32) for w in new_weights(cell, units, how.layers, rng)]
+    means, squares = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+    (x, y), (x_val, y_val) = data["train"], data["val"]
+    history: dict[str, list[float]] = {"loss": [], "mae": [], "val_loss": [], "val_mae": []}
+    best, best_loss, stalled, tick = weights, np.inf, 0, 0
+    for _ in range(how.epochs):
+        losses = np.zeros(2)
+        shuffled = rng.permutation(len(y))
+        for rows in np.split(shuffled, range(how.batch_size, len(y), how.batch_size)):
+            keep = 1.0
+            if how.dropout > 0:
+                keep = ((rng.random((len(rows), units)) >= how.dropout) / (1.0 - how.dropout)).astype(np.float32)
+            out, grads = gradients(cell, weights, x[rows], y[rows], keep)
+            gap = out - y[rows]
+            losses += [gap @ gap, np.abs(gap).sum()]
+            tick += 1
+            rate = how.learning_rate * np.sqrt(1.0 - 0.999 ** tick) / (1.0 - 0.9 ** tick)
+            means = [0.9 * m + 0.1 * g for m, g in zip(means, grads)]
+            squares = [0.999 * s + 0.001 * g * g for s, g in zip(squares, grads)]
+            weights = [(w - rate * m / (np.sqrt(s) + 1e-7)).astype(np.float32) for w, m, s in zip(weights, means, squares)]
+        gap = predict(cell, weights, x_val) - y_val
+        for name, value in zip(history, [*(losses / len(y)), np.mean(gap ** 2), np.mean(np.abs(gap))]):
+            history[name].append(float(value))
+        if history["val_loss"][-1] < best_loss:
+            best, best_loss, stalled = weights, history["val_loss"][-1], 0
+        else:
+            stalled += 1
+            if stalled >= how.patience:
+                break
+    return best, history
+
+
+def _fit_group(rows: pd.DataFrame, how: Training, score_on: str) -> pd.DataFrame:
+    rows = rows.sort_values("ts")
+    first = rows.iloc[0]
+    cell, lookback, units = first["cell"], int(first["lookback"]), int(first["units"])
+    scaled = rows["scaled"].to_numpy(dtype=np.float32)
+    windows = np.lib.stride_tricks.sliding_window_view(scaled, lookback)[:-1, :, None]
+    targets, part = scaled[lookback:], rows["split"].to_numpy()[lookback:]
+    data = {s: (windows[part == s], targets[part == s]) for s in ("train", "val", "test")}
+    # The seed depends on the group alone, so results do not depend on scheduling.
+    seed = zlib.crc32(f"{how.seed}/{first['area_id']}/{cell}/{lookback}/{units}".encode())
+    begin = time.perf_counter()
+    weights, history = train(cell, units, data, how, seed)
+    trained = time.perf_counter()
+    scored = predict(cell, weights, data[score_on][0])
+    done = time.perf_counter()
+    places = np.flatnonzero(part == score_on) + lookback
+    return pd.DataFrame([{
+        "area_id": first["area_id"], "cell": cell, "lookback": lookback, "units": units,
+        "epochs_run": len(history["loss"]), "n_params": sum(w.size for w in weights),
+        "best_val_loss": min(history["val_loss"]),
+        "train_time_s": trained - begin, "predict_time_s": done - trained, **history,
+        "ts": list(rows["ts"].iloc[places]), "y_true": rows["value"].to_numpy()[places],
+        "scaled_pred": scored.astype(float), "offset": first["offset"], "scale": first["scale"],
+    }])
+
+
+def fit_networks(series: DataFrame, split: Split, cells: tuple[str, ...] = CELLS, lookbacks: tuple[int, ...] = (12,),
+                 units: tuple[int, ...] = (64,), how: Training = Training(), val_fraction: float = 0.15,
+                 kind: str = "minmax", score_on: str = "test") -> DataFrame:
+    """Train every cell, look-back and width on every area; predict the test (or validation) windows.
+
+    Look-backs multiply the rows before labelling because each has its own windows; cells and
+    widths only multiply the finished rows, right before the shuffle that forms the groups.
+    """
+    if not set(cells) <= set(CELLS):
+        raise ValueError("cell must be 'LSTM' or 'GRU'")
+    if min(*lookbacks, *units, how.layers, how.epochs, how.batch_size, how.patience) < 1:
+        raise ValueError("look-backs, units, layers, epochs, batch size and patience must be positive")
+    if score_on not in ("val", "test"):
+        raise ValueError("score_on must be 'val' or 'test'")
+    ship_package(series.sparkSession)
+
+    def options(values: tuple) -> "F.Column":
+        return F.explode(F.array(*[F.lit(v) for v in values]))
+
+    rows = series.select("area_id", "ts", "value", options(lookbacks).alias("lookback"))
+    rows = labelled(rows, split, F.col("lookback"), val_fraction, kind, keys=("area_id", "lookback"))
+    rows = rows.withColumn("cell", options(cells)).withColumn("units", options(units))
+    fits = rows.groupBy("area_id", "cell", "lookback", "units").applyInPandas(
+        lambda group: _fit_group(group, how, score_on), FITS
+    )
+    return fits.withColumn("scaler", F.lit(kind))
+
+
+def predictions(fits: DataFrame, kind: str = "minmax") -> DataFrame:
+    """``area_id, model, lookback, units, ts, y_true, y_pred`` in original units, never negative."""
+    points = fits.select("area_id", F.col("cell").alias("model"), "lookback", "units", "offset", "scale",
+                         F.inline(F.arrays_zip("ts", "y_true", "scaled_pred")))
+    return points.select("area_id", "model", "lookback", "units", "ts", "y_true",
+                         clip_at_zero(unscaled(F.col("scaled_pred"), kind)).alias("y_pred"))
+
+
+def training_curves(fits: DataFrame) -> DataFrame:
+    """One row per epoch with training and validation loss."""
+    return fits.select(
+        "area_id", F.col("cell").alias("model"), "lookback", "units",
+        F.posexplode(F.arrays_zip("loss", "mae", "val_loss", "val_mae")).alias("epoch", "at"),
+    ).select("area_id", "model", "lookback", "units", (F.col("epoch") + 1).alias("epoch"), "at.*")
