@@ -45,10 +45,13 @@ SIZE_UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
 def human_bytes(n: Column) -> Column:
     """Byte count as text with two decimals; sizes past the last unit stay in it."""
     size = n.cast("double")
-    text = F.format_string(f"%.2f {SIZE_UNITS[-1]}", size / F.lit(1024.0 ** (len(SIZE_UNITS) - 1)))
+
+    def shown(power: int) -> Column:
+        return F.format_string(f"%.2f {SIZE_UNITS[power]}", F.bround(size / F.lit(1024.0 ** power), 2))
+
+    text = shown(len(SIZE_UNITS) - 1)
     for power in reversed(range(len(SIZE_UNITS) - 1)):
-        shown = F.format_string(f"%.2f {SIZE_UNITS[power]}", size / F.lit(1024.0 ** power))
-        text = F.when(F.abs(size) < F.lit(1024.0 ** (power + 1)), shown).otherwise(text)
+        text = F.when(F.abs(size) < F.lit(1024.0 ** (power + 1)), shown(power)).otherwise(text)
     return text
 
 

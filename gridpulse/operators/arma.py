@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from gridpulse.functions.scalars import clip_at_zero, order_text
 from gridpulse.operators.preparation import Split, split_rows
 from gridpulse.operators.temporal import undo_seasonal_difference
-from gridpulse.session import ship_package
+from gridpulse.session import ship_package, spread
 
 Order = tuple[int, int, int]
 
@@ -38,8 +38,12 @@ class Fit(NamedTuple):
     converged: bool
 
 
-def _apply_inverse_ma(ma: np.ndarray, columns: np.ndarray) -> np.ndarray | None:
-    """Every column filtered by 1 / (1 + ma B + ...), or None if that filter explodes."""
+def _invertible(ma: np.ndarray) -> bool:
+    return np.isfinite(ma).all() and bool(np.all(np.abs(np.roots([1.0, *ma])) < 1.0))
+
+
+def _apply_inverse_ma(ma: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Every column filtered by 1 / (1 + ma B + ...); the polynomial must be invertible."""
     q, n = len(ma), len(columns)
     if q == 0:
         return columns
@@ -50,12 +54,9 @@ def _apply_inverse_ma(ma: np.ndarray, columns: np.ndarray) -> np.ndarray | None:
         near = response[max(0, k - q): k][::-1]
         response[k] = -(ma[: len(near)] @ near)
         if k >= q:
-            size = np.abs(response[k - q + 1: k + 1]).max()
-            if size < 1e-13:
+            if np.abs(response[k - q + 1: k + 1]).max() < 1e-13:
                 used = k + 1
                 break
-            if size > 1e3:
-                return None
     width = 1 << (n + used - 2).bit_length()
     spectrum = np.fft.rfft(response[:used], width)
     return np.fft.irfft(np.fft.rfft(columns, width, axis=0) * spectrum[:, None], width, axis=0)[:n]
@@ -65,12 +66,11 @@ def _lags(x: np.ndarray, count: int, start: int) -> np.ndarray:
     return np.column_stack([x[start - i: len(x) - i] for i in range(1, count + 1)]) if count else np.empty((len(x) - start, 0))
 
 
-def innovations(w: np.ndarray, intercept: float, ar: np.ndarray, ma: np.ndarray) -> np.ndarray | None:
+def innovations(w: np.ndarray, intercept: float, ar: np.ndarray, ma: np.ndarray) -> np.ndarray:
     """One-step-ahead errors from row ``len(ar)`` on, taking earlier errors as 0."""
     p = len(ar)
     gap = w[p:] - intercept - _lags(w, p, p) @ ar
-    out = _apply_inverse_ma(ma, gap[:, None])
-    return None if out is None else out[:, 0]
+    return _apply_inverse_ma(ma, gap[:, None])[:, 0]
 
 
 def _start(w: np.ndarray, p: int, q: int) -> np.ndarray:
@@ -84,7 +84,7 @@ def _start(w: np.ndarray, p: int, q: int) -> np.ndarray:
     kept, first = w[long:], max(p, q)
     design = np.column_stack([np.ones(len(kept) - first), _lags(kept, p, first), _lags(errors, q, first)])
     beta = np.linalg.lstsq(design, kept[first:], rcond=None)[0]
-    while _apply_inverse_ma(beta[1 + p:], np.ones((len(w), 1))) is None:
+    while not _invertible(beta[1 + p:]):
         beta[1 + p:] *= 0.8 ** np.arange(1, q + 1)
     return beta
 
@@ -101,12 +101,14 @@ def fit_arma(w: np.ndarray, p: int, q: int, maxiter: int = 50) -> Fit:
         return b[0], b[1: 1 + p], b[1 + p:]
 
     def loss(b: np.ndarray) -> tuple[float, np.ndarray | None]:
+        if not _invertible(b[1 + p:]):
+            return np.inf, None
         e = innovations(w, *split(b))
-        return (np.inf, None) if e is None or not np.isfinite(e).all() else (float(np.sum(e[burn - p:] ** 2)), e)
+        return float(np.sum(e[burn - p:] ** 2)), e
 
-    best, errors = loss(beta)
-    if errors is None:
+    if not np.isfinite(beta).all():
         raise ValueError("no starting point")
+    best, errors = loss(beta)
     damping, converged = 1e-3, q == 0
     for _ in range(0 if q == 0 else maxiter):
         padded = np.concatenate([np.zeros(q), errors])
@@ -190,7 +192,8 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
             "lagged": rows["lagged"].to_numpy()[test], "step_ahead": ahead,
         }])
 
-    return rows.groupBy("area_id", "p", "d", "q").applyInPandas(of_area, FITS)
+    keys = ("area_id", "p", "d", "q")
+    return spread(rows, *keys, per_core=4).groupBy(*keys).applyInPandas(of_area, FITS)
 
 
 def predictions(fits: DataFrame, seasonal_diff: int = 1, model: str = "SARIMA") -> DataFrame:

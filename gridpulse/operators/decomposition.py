@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.session import ship_package
+from gridpulse.session import ship_package, spread
 
 RESULT = "area_id int, ts timestamp_ntz, observed double, trend double, seasonal double, resid double"
 
@@ -112,4 +112,4 @@ def decompose(series: DataFrame, period: int = 144, seasonal: int = 7, robust: b
         })
 
     clean = series.where(F.col("value").isNotNull()).select("area_id", "ts", "value")
-    return clean.groupBy("area_id").applyInPandas(of_area, RESULT)
+    return spread(clean, "area_id", per_core=4).groupBy("area_id").applyInPandas(of_area, RESULT)

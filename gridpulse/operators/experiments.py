@@ -32,7 +32,8 @@ def network_search(series: DataFrame, split: Split, cell: str = "LSTM", lookback
     fits = materialize(recurrent.fit_networks(series, split, (cell,), lookbacks, units, how, kind=kind, score_on="val"))
     keys = ("area_id", "lookback", "units")
     scores = scoring.evaluate(recurrent.predictions(fits, kind), *keys)
-    table = fits.join(scores, list(keys)).select(
+    facts = fits.select(*keys, "cell", "epochs_run", "n_params", "train_time_s")
+    table = facts.join(scores, list(keys)).select(
         "area_id", "cell", "lookback", "units",
         F.col("MAE").alias("val_MAE"), F.col("RMSE").alias("val_RMSE"), F.col("MAPE").alias("val_MAPE"),
         "epochs_run", "n_params", "train_time_s",

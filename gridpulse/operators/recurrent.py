@@ -12,11 +12,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridpulse.functions.scalars import clip_at_zero
 from gridpulse.operators.preparation import Split, labelled, unscaled
-from gridpulse.session import ship_package
+from gridpulse.session import ship_package, spread
 
 CELLS = ("LSTM", "GRU")
 FITS = (
@@ -235,16 +235,16 @@ def fit_networks(series: DataFrame, split: Split, cells: tuple[str, ...] = CELLS
         raise ValueError("score_on must be 'val' or 'test'")
     ship_package(series.sparkSession)
 
-    def options(values: tuple) -> "F.Column":
+    def options(values: tuple) -> Column:
         return F.explode(F.array(*[F.lit(v) for v in values]))
 
     rows = series.select("area_id", "ts", "value", options(lookbacks).alias("lookback"))
     rows = labelled(rows, split, F.col("lookback"), val_fraction, kind, keys=("area_id", "lookback"))
     rows = rows.withColumn("cell", options(cells)).withColumn("units", options(units))
-    fits = rows.groupBy("area_id", "cell", "lookback", "units").applyInPandas(
+    keys = ("area_id", "cell", "lookback", "units")
+    return spread(rows, *keys, per_core=4).groupBy(*keys).applyInPandas(
         lambda group: _fit_group(group, how, score_on), FITS
     )
-    return fits.withColumn("scaler", F.lit(kind))
 
 
 def predictions(fits: DataFrame, kind: str = "minmax") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from gridpulse.functions.calendar import within_dates
 from gridpulse.functions.scalars import area_label, no_activity_as_zero
-from gridpulse.session import broadcast_if_small, materialize
+from gridpulse.session import broadcast_if_small, materialize, spread
 
 
 def by_time() -> WindowSpec:
@@ -56,7 +56,7 @@ def dense_series(records: DataFrame, study: tuple[str, str] | None = None, sourc
     owned = bool(source) and duplicates == "first"
     axis = time_axis(records, study, source if owned else None)
     slots = axis.count()
-    lookup = broadcast_if_small(axis)
+    lookup = broadcast_if_small(axis, slots)
 
     placed = records.join(lookup.select("ts", "slot", *(["owner"] if owned else [])), "ts", "left")
     value = no_activity_as_zero(F.col("value"))
@@ -70,7 +70,7 @@ def dense_series(records: DataFrame, study: tuple[str, str] | None = None, sourc
     in_order = Window.partitionBy("area_id").orderBy("slot")
     first = F.when(F.lag("slot").over(in_order).isNull(), F.lit(1)).otherwise(F.col("slot"))
     last = F.coalesce(F.lead("slot").over(in_order), F.lit(slots + 1)) - 1
-    runs = cells.select("area_id", "slot", "value", first.alias("first"), last.alias("last"))
+    runs = spread(cells, "area_id").select("area_id", "slot", "value", first.alias("first"), last.alias("last"))
     filled = runs.where("first <= last").select(
         "area_id", F.explode(F.sequence("first", "last")).alias("at"), "slot", "value"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.functions.scalars import area_label
 from gridpulse.operators.series import by_time
-from gridpulse.session import ship_package
+from gridpulse.session import ship_package, spread
 
 # MacKinnon (2010) response surfaces for the constant-only case, powers of 1/T from 0 to 3.
 CRITICAL_SURFACE = {
@@ -89,7 +89,7 @@ def adf_test(series: DataFrame) -> DataFrame:
     clean = series.where(F.col("value").isNotNull()).select(
         "area_id", "ts", "value", area_label(F.col("area_id")).alias("series")
     )
-    return clean.groupBy("area_id").applyInPandas(of_area, RESULT)
+    return spread(clean, "area_id", per_core=4).groupBy("area_id").applyInPandas(of_area, RESULT)
 
 
 def dickey_fuller_lag0(series: DataFrame) -> DataFrame:

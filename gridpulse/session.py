@@ -60,11 +60,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Hint a broadcast only after counting ``df`` (call it on materialised data); else leave the join to the planner."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    if rows is None:
+        rows = df.limit(BROADCAST_MAX_ROWS + 1).count()
+    return F.broadcast(df) if rows <= BROADCAST_MAX_ROWS else df
+
+
+def spread(df: DataFrame, *keys: str, per_core: int | None = None) -> DataFrame:
+    """Hash partitions by ``keys`` in a number that adaptive execution leaves alone.
+
+    Adaptive execution merges partitions by their bytes. It cannot know that rows are about to
+    multiply or that a model fit takes a second, so the number is set here: the configured shuffle
+    partitions, or with ``per_core`` at least that many per core, so that uneven groups balance.
+    """
+    spark = df.sparkSession
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if per_core:
+        number = max(number, per_core * spark.sparkContext.defaultParallelism)
+    return df.repartition(number, *keys)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridpulse.functions.scalars import id_from_label
 from gridpulse.operators.areas import totals
@@ -69,12 +69,18 @@ def read_sample(spark: SparkSession, path: str, fixed: Sequence[int]) -> DataFra
 
 
 def write_report(table: DataFrame, path: str, digits: int = 4) -> None:
-    """A result table as CSV with a header; floating point columns get a fixed number of decimals."""
-    shown = [
-        F.format_string(f"%.{digits}f", c).alias(c) if t in ("double", "float") else F.col(f"`{c}`")
-        for c, t in ((f.name, f.dataType.typeName()) for f in table.schema)
-    ]
-    table.select(*shown).write.mode("overwrite").option("header", "true").csv(path)
+    """A result table as CSV with a header; floating point columns get a fixed number of decimals and
+    stay empty where undefined."""
+
+    def shown(name: str, kind: str) -> Column:
+        column = F.col(f"`{name}`")
+        if kind not in ("double", "float"):
+            return column
+        text = F.format_string(f"%.{digits}f", F.bround(column.cast("double"), digits))
+        return F.when(column.isNotNull() & ~F.isnan(column), text).alias(name)
+
+    columns = [shown(f.name, f.dataType.typeName()) for f in table.schema]
+    table.select(*columns).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def write_log(table: DataFrame, path: str) -> None:
