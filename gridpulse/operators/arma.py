@@ -42,21 +42,29 @@ def _invertible(ma: np.ndarray) -> bool:
     return np.isfinite(ma).all() and bool(np.all(np.abs(np.roots([1.0, *ma])) < 1.0))
 
 
+def _power_series_inverse(coefficients: np.ndarray, n: int) -> np.ndarray:
+    """First ``n`` terms of 1 / (1 + c1 B + c2 B^2 + ...): Newton steps, each doubling the correct terms."""
+    poly = np.zeros(n)
+    poly[: len(coefficients) + 1] = np.concatenate([[1.0], coefficients])[:n]
+    out = np.ones(1)
+    while len(out) < n:
+        size = min(2 * len(out), n)
+        width = 1 << (2 * size).bit_length()
+        known = np.fft.rfft(out, width)
+        product = np.fft.irfft(known * np.fft.rfft(poly[:size], width), width)[:size]
+        product = -product
+        product[0] += 2.0
+        out = np.fft.irfft(known * np.fft.rfft(product, width), width)[:size]
+    return out
+
+
 def _apply_inverse_ma(ma: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Every column filtered by 1 / (1 + ma B + ...); the polynomial must be invertible."""
-    q, n = len(ma), len(columns)
-    if q == 0:
+    n = len(columns)
+    if len(ma) == 0:
         return columns
-    response = np.zeros(n)
-    response[0] = 1.0
-    used = n
-    for k in range(1, n):
-        near = response[max(0, k - q): k][::-1]
-        response[k] = -(ma[: len(near)] @ near)
-        if k >= q:
-            if np.abs(response[k - q + 1: k + 1]).max() < 1e-13:
-                used = k + 1
-                break
+    response = _power_series_inverse(ma, n)
+    used = int(np.flatnonzero(np.abs(response) > 1e-15)[-1]) + 1
     width = 1 << (n + used - 2).bit_length()
     spectrum = np.fft.rfft(response[:used], width)
     return np.fft.irfft(np.fft.rfft(columns, width, axis=0) * spectrum[:, None], width, axis=0)[:n]
@@ -125,7 +133,7 @@ def fit_arma(w: np.ndarray, p: int, q: int, maxiter: int = 50) -> Fit:
                 damping = max(damping / 10.0, 1e-12)
                 break
             damping *= 10.0
-        if gain < 1e-10:
+        if gain < 1e-9:
             converged = True
             break
     variance = max(best / rows, np.finfo(float).tiny)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from gridpulse.functions.scalars import clip_at_zero, rounded
 from gridpulse.operators import arma, experiments, preparation, recurrent, scoring, temporal
 from gridpulse.plans import views
-from gridpulse.plans.consolidation_queries import type_series, user_series
+from gridpulse.plans.consolidation_queries import supplier_series, type_series, user_series
 from gridpulse.plans.exploration_queries import _rounded
 from gridpulse.plans.forecast import forecast_run
 from gridpulse.plans.oracle_views import BEFORE_TEST, IN_TEST, TYPE_DENSE, USER_DENSE
@@ -297,6 +297,13 @@ def arima_forecast_recent(spark: SparkSession, sf: str) -> DataFrame:
     return arma.predictions(fits)
 
 
+@query()
+def arima_by_supplier(spark: SparkSession, sf: str) -> DataFrame:
+    """Years of daily values: one fit of about 2,300 points per supplier."""
+    split = preparation.Split("2001-06-04", "2001-06-10")
+    return arma.predictions(arma.fit_orders(supplier_series(spark, sf), split, [(2, 0, 2)], period=7))
+
+
 @query()
 def arima_order_search(spark: SparkSession, sf: str) -> DataFrame:
     return experiments.order_search(type_series(spark, sf), BEFORE, period=views.PERIOD)
