@@ -163,7 +163,7 @@ def _with_history(series: DataFrame, split: Split, period: int, times: int, tail
 
 def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0, 2),), period: int = 144,
                seasonal_diff: int = 1, tail_rows: int | None = None, maxiter: int = 50) -> DataFrame:
-    """Fit every order to every area: one group each, all in one job. A failed fit has NaN criteria.
+    """Fit every order to every area: one group each, all in one job. A failed fit has NULL criteria.
 
     Seasonal AR and MA terms are not estimated. Fitting happens once; the test week is then
     predicted one step ahead with the fitted parameters and the actual past.
@@ -205,14 +205,14 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
 
 
 def predictions(fits: DataFrame, seasonal_diff: int = 1, model: str = "SARIMA") -> DataFrame:
-    """``area_id, model, order, ts, y_true, y_pred`` on the original scale, never negative."""
+    """``area_id, model, order, ts, y_true, y_pred`` on the original scale, never negative; NaN where the fit failed."""
     points = fits.select(
-        "area_id", order_text(F.col("p"), F.col("d"), F.col("q")).alias("order"),
+        "area_id", F.col("aic").isNull().alias("failed"), order_text(F.col("p"), F.col("d"), F.col("q")).alias("order"),
         F.inline(F.arrays_zip("ts", "y_true", "lagged", "step_ahead")),
     )
     restored = undo_seasonal_difference(F.col("step_ahead"), F.col("lagged"), seasonal_diff)
     return points.select("area_id", F.lit(model).alias("model"), "order", "ts", "y_true",
-                         clip_at_zero(restored).alias("y_pred"))
+                         F.when(F.col("failed"), F.lit(float("nan"))).otherwise(clip_at_zero(restored)).alias("y_pred"))
 
 
 def ar1_fits(series: DataFrame, split: Split, period: int = 144) -> DataFrame:
@@ -223,8 +223,9 @@ def ar1_fits(series: DataFrame, split: Split, period: int = 144) -> DataFrame:
     fit = train.groupBy("area_id").agg(
         F.count("*").alias("n_fit"), F.regr_slope("diff", "previous").alias("slope"),
         F.regr_intercept("diff", "previous").alias("intercept"),
-        (F.regr_syy("diff", "previous") - F.regr_sxy("diff", "previous") * F.regr_sxy("diff", "previous")
-         / F.regr_sxx("diff", "previous")).alias("sse"),
+        (F.regr_syy("diff", "previous") - F.try_divide(
+            F.regr_sxy("diff", "previous") * F.regr_sxy("diff", "previous"), F.regr_sxx("diff", "previous")
+        )).alias("sse"),
     )
     deviance = F.col("n_fit") * (F.log(F.lit(2.0 * np.pi) * F.col("sse") / F.col("n_fit")) + 1.0)
     return fit.select(

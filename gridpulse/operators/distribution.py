@@ -70,7 +70,8 @@ def density(area_totals: DataFrame, points: int = 200, log_scale: bool = False)
     """``point, x, density``: Gaussian kernel density over the data range, bandwidth by Scott's rule.
 
     Every total contributes only to grid points its kernel can reach, and the sums per point are
-    combined on the map side, so the shuffle carries ``points`` rows per task.
+    combined on the map side, so the shuffle carries ``points`` rows per task. Without spread the
+    density is NULL.
     """
     x = F.col("total_traffic")
     values = area_totals.where(is_finite(x))
@@ -95,7 +96,7 @@ def density(area_totals: DataFrame, points: int = 200, log_scale: bool = False)
     return grid.join(sums, "point", "left").select(
         "point",
         (F.pow(F.lit(10.0), at) if log_scale else at).alias("x"),
-        (F.coalesce("mass", F.lit(0.0)) / norm).alias("density"),
+        F.try_divide(F.coalesce("mass", F.lit(0.0)), norm).alias("density"),
     )
 
 

@@ -50,7 +50,8 @@ def order_search(series: DataFrame, split: Split, orders: Sequence[arma.Order] =
     table = fits.withColumn("order", order_text(F.col("p"), F.col("d"), F.col("q"))).join(
         scores, ["area_id", "order"]
     ).select(
-        "area_id", "order", F.lit(seasonal).alias("seasonal_order"), F.col("aic").alias("AIC"), F.col("bic").alias("BIC"),
+        "area_id", "order", F.lit(seasonal).alias("seasonal_order"),
+        F.coalesce("aic", F.lit(float("nan"))).alias("AIC"), F.coalesce("bic", F.lit(float("nan"))).alias("BIC"),
         F.col("MAE").alias("test_MAE"), F.col("RMSE").alias("test_RMSE"), F.col("MAPE").alias("test_MAPE"), "train_time_s",
     )
     return scoring.ranked_by_error(table, "AIC", "area_id", "order")

@@ -74,7 +74,7 @@ def adf(x: np.ndarray) -> tuple[float, int, int]:
 
 
 def adf_test(series: DataFrame) -> DataFrame:
-    """One row per area. A group is one area's series: as long as the calendar, whatever the raw volume."""
+    """One row per area; a constant series has no statistic (NULL). A group is one area's series: as long as the calendar, whatever the raw volume."""
     ship_package(series.sparkSession)
 
     def of_area(rows: pd.DataFrame) -> pd.DataFrame:
@@ -104,5 +104,5 @@ def dickey_fuller_lag0(series: DataFrame) -> DataFrame:
     )
     noise = (F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")) / (F.col("n_obs") - 2)
     return fit.where((F.col("sxx") > 0) & (F.col("n_obs") > 2)).select(
-        "area_id", "n_obs", (F.col("slope") / F.sqrt(noise / F.col("sxx"))).alias("adf_statistic")
+        "area_id", "n_obs", F.try_divide(F.col("slope"), F.sqrt(noise / F.col("sxx"))).alias("adf_statistic")
     )
