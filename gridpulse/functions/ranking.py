@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridpulse.session import broadcast_if_small, materialize
+from gridpulse.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -25,14 +25,13 @@ def rank_rows(df: DataFrame, *order: Column) -> DataFrame:
         F.shiftright("_row", _ROW_BITS).alias("_slice"),
         F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_place"),
     )
-    sizes = materialize(placed.groupBy("_slice").agg(F.count("*").alias("_size")))
-    before = sizes.select(
+    before = placed.groupBy("_slice").agg(F.count("*").alias("_size")).select(
         "_slice",
         F.expr("sum(_size) OVER (ORDER BY _slice) - _size").alias("_before"),
         F.expr("sum(_size) OVER ()").alias("n"),
     )
     return (
-        placed.join(broadcast_if_small(before), "_slice")
+        placed.join(F.broadcast(before), "_slice")  # one row per sort task
         .select(*df.columns, (F.col("_before") + F.col("_place")).alias("rank"), "n")
     )
 
@@ -45,9 +44,9 @@ def percentile_of_ranked(value: str, p: float) -> Column:
     return below + (above - below) * F.max(place - F.floor(place))
 
 
-def pick_ranks(ranked: DataFrame, wanted: Sequence[tuple[int, int]], id_col: str = "area_id") -> DataFrame:
-    """Rows at rank ``num * n // den`` for each ``(num, den)``, numbered by ``pick`` in the given order."""
+def rank_pick(shares: Sequence[tuple[int, int]]) -> Column:
+    """Over ``rank_rows`` output: i where the rank is ``num * n // den`` for the i-th ``(num, den)``, else NULL."""
     pick = F.lit(None).cast("int")
-    for i, (num, den) in reversed(list(enumerate(wanted))):
+    for i, (num, den) in reversed(list(enumerate(shares))):
         pick = F.when(F.col("rank") == F.floor(F.lit(num) * F.col("n") / F.lit(den)), F.lit(i)).otherwise(pick)
-    return ranked.select(pick.alias("pick"), id_col).where(F.col("pick").isNotNull())
+    return pick

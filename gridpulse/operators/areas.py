@@ -6,13 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.functions.ranking import pick_ranks, rank_rows
+from gridpulse.functions.calendar import within_dates
+from gridpulse.functions.ranking import rank_pick, rank_rows
+from gridpulse.functions.scalars import no_activity_as_zero
+
+SUBSTITUTE_SHARES = ((1, 3), (2, 3))  # fixed values: a third and two thirds down the ranking
 
 
 def totals(series: DataFrame) -> DataFrame:
     return series.groupBy("area_id").agg(F.sum("value").alias("total_traffic"))
 
 
+def totals_of_records(records: DataFrame, study: tuple[str, str] | None = None) -> DataFrame:
+    """The totals of the dense series without building it: filled cells add nothing.
+
+    Areas seen only outside the study window stay with total 0. One pass, combined on the map side.
+    """
+    value = no_activity_as_zero(F.col("value"))
+    if study:
+        value = F.when(within_dates(F.col("ts"), *study), value).otherwise(F.lit(0.0))
+    return records.groupBy("area_id").agg(F.sum(value).alias("total_traffic"))
+
+
 def by_total(area_totals: DataFrame) -> DataFrame:
     """Areas from busiest to quietest; ties by lowest id."""
     return area_totals.orderBy(F.desc("total_traffic"), "area_id")
@@ -29,7 +44,8 @@ def busiest(area_totals: DataFrame) -> DataFrame:
 
 def substitutes(area_totals: DataFrame) -> DataFrame:
     """The areas a third and two thirds down the ranking, as ``pick`` 0 and 1."""
-    return pick_ranks(ranked_by_total(area_totals), [(1, 3), (2, 3)])
+    pick = rank_pick(SUBSTITUTE_SHARES)
+    return ranked_by_total(area_totals).select(pick.alias("pick"), "area_id").where(F.col("pick").isNotNull())
 
 
 def present(area_totals: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -49,16 +65,19 @@ def target_areas(area_totals: DataFrame, fixed: Sequence[int]) -> DataFrame:
     """
     spark = area_totals.sparkSession
     ranked = ranked_by_total(area_totals)
-    known = {r.area_id for r in ranked.where(F.col("area_id").isin(list(fixed))).select("area_id").collect()}
-    picks = [r.area_id for r in pick_ranks(ranked, [(1, 3), (2, 3)]).orderBy("pick").collect()]
-    top = [r.area_id for r in ranked.where(F.col("rank") <= len(fixed) + 2).orderBy("rank").select("area_id").collect()]
-    if not top:
+    pick = rank_pick(SUBSTITUTE_SHARES)
+    candidates = ranked.select("area_id", "rank", pick.alias("pick")).where(
+        F.col("area_id").isin(list(fixed)) | F.col("pick").isNotNull() | (F.col("rank") <= len(fixed) + 2)
+    ).orderBy("rank").collect()
+    if not candidates:
         raise ValueError("there are no areas to choose from")
-    chosen = [("highest", top[0])]
+    known = {r.area_id for r in candidates}
+    in_turn = [r.area_id for r in sorted(candidates, key=lambda r: (r.pick is None, r.pick or 0, r.rank))]
+    chosen = [("highest", candidates[0].area_id)]
     for i, area in enumerate(fixed, start=1):
         if area not in known:
             taken = {a for _, a in chosen}
-            area = next((a for a in [*picks, *top] if a not in taken), None)
+            area = next((a for a in in_turn if a not in taken), None)
             if area is None:
                 raise ValueError(f"no unused area is left to stand in for fixed_{i}")
         chosen.append((f"fixed_{i}", area))

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridpulse.operators.series import by_time
+from gridpulse.operators.series import by_time, whole_series
 from gridpulse.session import ship_package
 
 MAX_LAG_COLUMNS = 24  # wider projections of lag columns cost more than a grouped map
@@ -17,7 +17,7 @@ NORMAL_975 = 1.959963984540054  # fixed value: 97.5 % point of the standard norm
 
 def _acf_by_lag_columns(series: DataFrame, lags: int) -> DataFrame:
     centred = series.select(
-        "area_id", "ts", (F.col("value") - F.avg("value").over(Window.partitionBy("area_id"))).alias("x")
+        "area_id", "ts", (F.col("value") - F.avg("value").over(whole_series())).alias("x")
     )
     shifted = centred.select(
         "area_id", "x", *[F.lag("x", k).over(by_time()).alias(f"x{k}") for k in range(1, lags + 1)]

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from gridpulse.functions.calendar import ntz, within_dates
+from gridpulse.operators.series import by_time, whole_series
 
 SCALERS = ("minmax", "standard", "log-minmax")
 
@@ -99,9 +100,8 @@ def sliding_windows(series: DataFrame, lookback: int, value: str = "value") -> D
     """
     if lookback < 1:
         raise ValueError("lookback must be positive")
-    area = Window.partitionBy("area_id")
-    past = area.orderBy("ts").rowsBetween(-lookback, -1)
-    out = series.withColumn("x", F.collect_list(value).over(past)).withColumn("_n", F.count(value).over(area))
+    past = by_time().rowsBetween(-lookback, -1)
+    out = series.select("*", F.collect_list(value).over(past).alias("x"), F.count(value).over(whole_series()).alias("_n"))
     enough = F.when(F.col("_n") > lookback, F.size("x") == lookback).otherwise(
         F.raise_error(F.lit(f"a series is not longer than the lookback of {lookback}")).cast("boolean")
     )
@@ -118,8 +118,8 @@ def labelled(series: DataFrame, split: Split, lookback: Column | int, val_fracti
     """
     _checked(kind)
     lookback = F.lit(lookback) if isinstance(lookback, int) else lookback
-    group = Window.partitionBy(*keys)
-    in_time = group.orderBy("ts")
+    group = whole_series(*keys)
+    in_time = Window.partitionBy(*keys).orderBy("ts")
     ts = F.col("ts")
 
     train_value = F.when(split.is_train(ts), _on_scale(F.col("value"), kind))

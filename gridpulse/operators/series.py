@@ -19,6 +19,12 @@ def by_time() -> WindowSpec:
     return Window.partitionBy("area_id").orderBy("ts")
 
 
+def whole_series(*keys: str) -> WindowSpec:
+    """All rows of a series. It keeps the time order, so that one sort serves this and the running frames."""
+    in_time = Window.partitionBy(*(keys or ("area_id",))).orderBy("ts")
+    return in_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def rollup(records: DataFrame, *keys: str) -> DataFrame:
     """Total per area and interval; missing activity counts as 0. Map-side combine absorbs hot areas."""
     keys = keys or ("area_id", "ts")

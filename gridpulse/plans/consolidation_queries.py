@@ -165,7 +165,7 @@ targets AS (
 
 
 def _targets(spark: SparkSession, sf: str) -> DataFrame:
-    totals = areas.totals(user_series(spark, sf)).withColumn("total_traffic", F.round("total_traffic", 6))
+    totals = areas.totals_of_records(views.by_user(spark, sf), views.STUDY).withColumn("total_traffic", F.round("total_traffic", 6))
     return areas.target_areas(totals, FIXED)
 
 
@@ -369,8 +369,8 @@ def area_totals(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""{USER_DENSE_ALL} SELECT area_id, round(sum(value), 4) AS total_traffic FROM dense GROUP BY area_id
 ORDER BY total_traffic DESC, area_id""")
 def totals_busiest_first(spark: SparkSession, sf: str) -> DataFrame:
-    """The flagship: total per area on the dense grid, busiest first."""
-    totals = areas.by_total(areas.totals(series.dense_series(views.by_user(spark, sf))))
+    """The flagship: total per area on the dense grid, busiest first. The grid itself need not be built for it."""
+    totals = areas.by_total(areas.totals_of_records(views.by_user(spark, sf)))
     return totals.select("area_id", rounded(F.col("total_traffic"), 4).alias("total_traffic"))
 
 

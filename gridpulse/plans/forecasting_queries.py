@@ -66,7 +66,7 @@ def scaler_parameters(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scaled_query(kind: str, split: preparation.Split) -> str:
     x = "ln(1 + value)" if kind == "log-minmax" else "value"
-    return f"""{USER_DENSE}, {_scaler_cte(kind, split)} SELECT d.area_id, ts, round(({x} - "offset") / scale, 6) + 0 AS scaled,
+    return f"""{USER_DENSE}, {_scaler_cte(kind, split)} SELECT d.area_id, ts, round(({x} - "offset") / scale, 8) + 0 AS scaled,
 round(value, 4) + 0 AS restored FROM dense d JOIN fit f ON f.area_id = d.area_id"""
 
 
@@ -74,7 +74,7 @@ def _scaled(spark: SparkSession, sf: str, kind: str, split: preparation.Split) -
     dense = user_series(spark, sf)
     out = preparation.transform(dense, preparation.fit_scaler(dense, kind, split), kind)
     out = preparation.inverse_transform(out, kind)
-    return out.select("area_id", "ts", rounded(F.col("scaled")).alias("scaled"), rounded(F.col("restored"), 4).alias("restored"))
+    return out.select("area_id", "ts", rounded(F.col("scaled"), 8).alias("scaled"), rounded(F.col("restored"), 4).alias("restored"))
 
 
 @query(_scaled_query("minmax", BEFORE))
@@ -112,15 +112,15 @@ labelled AS (SELECT r.area_id, r.ts, r.value, r.i, (r.value - f."offset") / f.sc
 
 
 def _windows_sql(split: preparation.Split) -> str:
-    return f"""{_labelled_cte(split)} SELECT t.area_id, t.ts, t.split, CAST(p.i - t.i + {LOOKBACK} AS INT) AS pos, round(p.scaled, 6) AS x,
-round(t.scaled, 6) AS y, round(t.value, 4) AS y_actual
+    return f"""{_labelled_cte(split)} SELECT t.area_id, t.ts, t.split, CAST(p.i - t.i + {LOOKBACK} AS INT) AS pos, round(p.scaled, 8) AS x,
+round(t.scaled, 8) AS y, round(t.value, 4) AS y_actual
 FROM labelled t JOIN labelled p ON p.area_id = t.area_id AND p.i BETWEEN t.i - {LOOKBACK} AND t.i - 1 WHERE t.split IS NOT NULL"""
 
 
 def _windows(spark: SparkSession, sf: str, split: preparation.Split) -> DataFrame:
     out = preparation.forecasting_data(type_series(spark, sf), split, LOOKBACK)
     out = out.select("area_id", "ts", "split", F.posexplode("x").alias("pos", "x"), "y", "y_actual")
-    return _rounded(_rounded(out, "x", "y"), "y_actual", digits=4)
+    return _rounded(_rounded(out, "x", "y", digits=8), "y_actual", digits=4)
 
 
 @query(_windows_sql(BEFORE))
@@ -160,14 +160,14 @@ _LAGS = ", ".join(f"lag(value, {p}) OVER (PARTITION BY area_id ORDER BY ts) AS {
 _NAIVE = f"""{USER_DENSE}, l AS (SELECT area_id, ts, value AS y_true, {_LAGS} FROM dense),
 pred AS ({" UNION ALL ".join(f"SELECT area_id, ts, y_true, '{n}' AS model, {n} AS y_pred FROM l WHERE {IN_TEST}" for n in NAIVE_LAGS)}),
 err AS (SELECT *, abs(y_true - y_pred) AS e FROM pred)"""
-_METRICS = """round(avg(e), 4) AS "MAE", round(sqrt(avg(e * e)), 4) AS "RMSE", round(avg(e / greatest(abs(y_true), 1e-8)) * 100 / 1e6, 3) AS "MAPE",
+_METRICS = """round(avg(e), 6) AS "MAE", round(sqrt(avg(e * e)), 4) AS "RMSE", round(avg(e / greatest(abs(y_true), 1e-8)) * 100 / 1e6, 3) AS "MAPE",
 round(avg(e / greatest((abs(y_true) + abs(y_pred)) / 2, 1e-8)) * 100, 4) AS "sMAPE", count(*) AS n, count(*) FILTER (abs(y_true) < 1) AS n_near_zero"""
 
 
 def _shown_metrics(table: DataFrame) -> DataFrame:
     """Rounded; the areas are sparse, so MAPE is huge and shown in millions."""
     table = table.withColumn("MAPE", F.round(F.col("MAPE") / 1e6, 3))
-    return _rounded(table, "MAE", "RMSE", "sMAPE", digits=4)
+    return _rounded(_rounded(table, "MAE"), "RMSE", "sMAPE", digits=4)
 
 
 @query(f"{_NAIVE} SELECT model, area_id, {_METRICS} FROM err GROUP BY model, area_id")
@@ -315,7 +315,7 @@ def experiment_log(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "experiments")
     table = experiments.order_search(type_series(spark, sf), OUTSIDE, period=views.PERIOD)
     tables.write_log(table, path)
-    return scoring.ranked_by_error(tables.read_report(spark, path, table.schema.simpleString()[7:-1].replace(":", " ")), "AIC")
+    return scoring.ranked_by_error(tables.read_report(spark, path, table.schema), "AIC")
 
 
 # --- recurrent networks ------------------------------------------------------------------------

@@ -6,17 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from gridpulse.functions.scalars import id_from_label
 from gridpulse.operators.areas import totals
 
 
 def write_matrix(series: DataFrame, path: str) -> None:
-    """Snappy Parquet by day. Range partitioning by day and area keeps files even and few, and sorted by area."""
-    by_day = series.withColumn("day", F.to_date("ts"))
-    by_day.repartitionByRange("day", "area_id").sortWithinPartitions("day", "area_id", "ts").write.mode(
-        "overwrite"
-    ).option("compression", "snappy").partitionBy("day").parquet(path)
+    """Snappy Parquet by day. Rebalancing sizes the files at run time: a large day is split, small days share a task."""
+    by_day = series.withColumn("day", F.to_date("ts")).hint("rebalance", "day")
+    by_day.sortWithinPartitions("day", "area_id", "ts").write.mode("overwrite").option(
+        "compression", "snappy"
+    ).partitionBy("day").parquet(path)
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
@@ -88,5 +89,5 @@ def write_log(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", "true").csv(path)

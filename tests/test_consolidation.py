@@ -42,6 +42,8 @@ def test_consolidation_of_hand_made_files(spark, raw_dir):
         (1, datetime(2013, 11, 1)): 2.0, (1, datetime(2013, 11, 1, 0, 10)): 2.0, (3, datetime(2013, 11, 2)): 4.0,
     }
     totals = areas.totals(matrix)
+    direct = areas.totals_of_records(staged.where("source NOT LIKE '%day2%'"), STUDY)
+    assert {r.area_id: r.total_traffic for r in direct.collect()} == {1: 4.0, 2: 0.0, 4: 0.0}
     assert {r.area_id: r.total_traffic for r in totals.collect()} == {1: 4.0, 2: 0.0, 3: 4.0, 4: 0.0}
     assert areas.busiest(totals).first().area_id == 1
 
