@@ -215,17 +215,20 @@ def predictions(fits: DataFrame, seasonal_diff: int = 1, model: str = "SARIMA")
                          F.when(F.col("failed"), F.lit(float("nan"))).otherwise(clip_at_zero(restored)).alias("y_pred"))
 
 
-def ar1_fits(series: DataFrame, split: Split, period: int = 144) -> DataFrame:
-    """Order (1,0,0) without any Python: conditional least squares is a regression on the previous value."""
+def _with_previous(series: DataFrame, split: Split, period: int) -> DataFrame:
     rows = _with_history(series, split, period, 1, None)
     previous = F.lag("diff").over(Window.partitionBy("area_id").orderBy("place"))
-    train = rows.withColumn("previous", previous).where(~F.col("is_test") & F.col("previous").isNotNull())
+    return rows.withColumn("previous", previous)
+
+
+def ar1_fits(series: DataFrame, split: Split, period: int = 144) -> DataFrame:
+    """Order (1,0,0) without any Python: conditional least squares is a regression on the previous value."""
+    train = _with_previous(series, split, period).where(~F.col("is_test") & F.col("previous").isNotNull())
+    sxy = F.regr_sxy("diff", "previous")
     fit = train.groupBy("area_id").agg(
         F.count("*").alias("n_fit"), F.regr_slope("diff", "previous").alias("slope"),
         F.regr_intercept("diff", "previous").alias("intercept"),
-        (F.regr_syy("diff", "previous") - F.try_divide(
-            F.regr_sxy("diff", "previous") * F.regr_sxy("diff", "previous"), F.regr_sxx("diff", "previous")
-        )).alias("sse"),
+        (F.regr_syy("diff", "previous") - F.try_divide(sxy * sxy, F.regr_sxx("diff", "previous"))).alias("sse"),
     )
     deviance = F.col("n_fit") * (F.log(F.lit(2.0 * np.pi) * F.col("sse") / F.col("n_fit")) + 1.0)
     return fit.select(
@@ -235,12 +238,22 @@ def ar1_fits(series: DataFrame, split: Split, period: int = 144) -> DataFrame:
 
 
 def ar1_predictions(series: DataFrame, split: Split, period: int = 144) -> DataFrame:
-    """The test week of every area under order (1,0,0), in SQL only."""
-    rows = _with_history(series, split, period, 1, None)
-    previous = F.lag("diff").over(Window.partitionBy("area_id").orderBy("place"))
-    test = rows.withColumn("previous", previous).where("is_test")
+    """The test week of every area under order (1,0,0), in SQL only.
+
+    The regression runs as a window over each area's training rows, so fit and prediction share one
+    partitioning and the series is computed once.
+    """
+    whole = Window.partitionBy("area_id").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    known = F.when(~F.col("is_test"), F.col("diff"))
+    fitted = _with_previous(series, split, period).select(
+        "area_id", "ts", "value", "lagged", "previous", "is_test",
+        F.regr_slope(known, F.col("previous")).over(whole).alias("slope"),
+        F.regr_intercept(known, F.col("previous")).over(whole).alias("intercept"),
+    )
     ahead = F.col("intercept") + F.col("slope") * F.col("previous") + F.col("lagged")
-    return test.join(ar1_fits(series, split, period), "area_id").select(
+    return fitted.where("is_test").select(
         "area_id", F.lit("SARIMA").alias("model"), "ts", F.col("value").alias("y_true"),
         clip_at_zero(ahead).alias("y_pred"),
     )

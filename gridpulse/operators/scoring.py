@@ -62,11 +62,14 @@ def absolute_errors(predictions: DataFrame) -> DataFrame:
 
 
 def side_by_side(predictions: DataFrame, models: Sequence[str]) -> DataFrame:
-    """One row per area and timestamp with a truth and a prediction column per model."""
-    wide = predictions.groupBy("area_id", "ts").pivot("model", list(models)).agg(
-        F.first("y_true").alias("y_true"), F.first("y_pred").alias("y_pred")
-    )
-    return wide.select("area_id", "ts", *[F.col(f"`{m}_{c}`") for m in models for c in ("y_true", "y_pred")])
+    """One row per area and timestamp with a truth and a prediction column per model.
+
+    Conditional aggregates over the listed models need one shuffle where a pivot needs two.
+    """
+    return predictions.groupBy("area_id", "ts").agg(*[
+        F.first(F.when(F.col("model") == m, F.col(c)), ignorenulls=True).alias(f"{m}_{c}")
+        for m in models for c in ("y_true", "y_pred")
+    ])
 
 
 def ranked_by_error(table: DataFrame, column: str = "val_RMSE", *ties: str) -> DataFrame:
