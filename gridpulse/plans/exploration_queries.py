@@ -116,6 +116,13 @@ def rolling_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_rounded(out, "value", "rolling_mean"), "rolling_std", digits=4)
 
 
+@query(_rolling_sql(USER_DENSE, 7 * views.PERIOD))
+def rolling_statistics_week(spark: SparkSession, sf: str) -> DataFrame:
+    """A long window: merged block moments instead of a walk over the frame."""
+    out = temporal.rolling(user_series(spark, sf), 7 * views.PERIOD)
+    return _rounded(_rounded(out, "value", "rolling_mean"), "rolling_std", digits=4)
+
+
 @query(_rolling_sql(SUPPLIER_DENSE, WEEK_DAYS))
 def rolling_statistics_daily(spark: SparkSession, sf: str) -> DataFrame:
     out = temporal.rolling(supplier_series(spark, sf), WEEK_DAYS)

@@ -70,6 +70,19 @@ def test_rolling(daily):
     assert mean[4:] == [None] * 4
 
 
+@pytest.mark.parametrize("window", [2, 5, 40])
+def test_rolling_by_blocks_equals_frames(daily, window):
+    x = np.random.default_rng(9).lognormal(5, 2, (3, 103))
+    frame = daily({1: x[0], 2: [None if i == 50 else v for i, v in enumerate(x[1])], 3: [0.0] * 60 + list(x[2]), 4: [1.0] * 3})
+    by_frame, by_blocks = (f(frame, window) for f in (temporal._rolling_by_frame, temporal._rolling_by_blocks))
+    for name in ("rolling_mean", "rolling_std"):
+        a, b = column(by_frame, name), column(by_blocks, name)
+        assert [v is None for v in a] == [v is None for v in b]
+        assert np.allclose([v for v in a if v is not None], [v for v in b if v is not None], rtol=1e-12, atol=1e-9)
+    exact = by_blocks.where("area_id = 3 AND rolling_std IS NOT NULL").orderBy("ts").first()
+    assert exact.rolling_std == 0.0
+
+
 def test_seasonal_difference_and_restore(daily):
     frame = temporal.with_lag(daily({1: [1, 2, 4, 8]}), 2)
     diff = temporal.seasonal_difference(frame, 2)
