@@ -38,7 +38,7 @@ class Training(NamedTuple):
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1.0 + np.tanh(0.5 * x))
+    return 1.0 / (1.0 + np.exp(-np.maximum(x, -80.0)))
 
 
 def new_weights(cell: str, units: int, layers: int, rng: np.random.Generator) -> list[np.ndarray]:
@@ -64,8 +64,8 @@ def _lstm_forward(x: np.ndarray, kernel, recurrent, bias):
     fed, outs, tape = x @ kernel + bias[0], [], []
     for t in range(x.shape[1]):
         z = fed[:, t] + h @ recurrent
-        gates = _sigmoid(z)
-        i, f, o = gates[:, :units], gates[:, units: 2 * units], gates[:, 3 * units:]
+        kept = _sigmoid(z[:, : 2 * units])
+        i, f, o = kept[:, :units], kept[:, units:], _sigmoid(z[:, 3 * units:])
         g = np.tanh(z[:, 2 * units: 3 * units])
         before, held = h, c
         c = f * held + i * g
