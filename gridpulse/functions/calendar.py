@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 def local_time(epoch_ms: Column | str, offset_hours: int = 0) -> Column:
     """Epoch milliseconds to naive local time with a fixed offset from UTC."""
     ms = F.col(epoch_ms) if isinstance(epoch_ms, str) else epoch_ms
-    epoch = F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     seconds = (ms.cast("decimal(20,3)") / F.lit(1000).cast("decimal(5,0)")).cast("decimal(18,6)")
     return epoch + F.make_dt_interval(F.lit(0), F.lit(offset_hours), F.lit(0), seconds)
 

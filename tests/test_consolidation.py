@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from gridpulse.functions.calendar import local_time
 from gridpulse.functions.scalars import clip_at_zero, human_bytes, id_from_label, is_finite
 from gridpulse.operators import areas, series
 from gridpulse.plans.consolidate import build_matrix, stage_raw
@@ -95,6 +96,17 @@ def test_volume_report_reproduces_published_sizes(spark):
     assert round(float(optimised.reduction_pct), 1) == 93.5
 
 
+def test_local_time_does_not_depend_on_the_session_zone(spark):
+    frame = spark.createDataFrame([(1383260400123,)], "ms long").select(local_time("ms", 1).alias("ts"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            assert frame.select(F.col("ts").cast("string")).first()[0] == "2013-11-01 00:00:00.123"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_incremental_ingest_equals_batch(spark, tmp_path):
     folder, store, checkpoint = tmp_path / "raw", str(tmp_path / "store"), str(tmp_path / "checkpoint")
     folder.mkdir()
