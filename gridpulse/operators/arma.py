@@ -42,32 +42,33 @@ def _invertible(ma: np.ndarray) -> bool:
     return np.isfinite(ma).all() and bool(np.all(np.abs(np.roots([1.0, *ma])) < 1.0))
 
 
-def _power_series_inverse(coefficients: np.ndarray, n: int) -> np.ndarray:
-    """First ``n`` terms of 1 / (1 + c1 B + c2 B^2 + ...): Newton steps, each doubling the correct terms."""
-    poly = np.zeros(n)
-    poly[: len(coefficients) + 1] = np.concatenate([[1.0], coefficients])[:n]
-    out = np.ones(1)
-    while len(out) < n:
-        size = min(2 * len(out), n)
-        width = 1 << (2 * size).bit_length()
-        known = np.fft.rfft(out, width)
-        product = np.fft.irfft(known * np.fft.rfft(poly[:size], width), width)[:size]
-        product = -product
-        product[0] += 2.0
-        out = np.fft.irfft(known * np.fft.rfft(product, width), width)[:size]
-    return out
-
-
 def _apply_inverse_ma(ma: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Every column filtered by 1 / (1 + ma B + ...); the polynomial must be invertible."""
-    n = len(columns)
-    if len(ma) == 0:
+    """Every column filtered by 1 / (1 + ma B + ...), a block of rows at a time.
+
+    Within a block the filter is one triangular matrix; only the last few outputs pass from block to block.
+    """
+    q, (n, width) = len(ma), columns.shape
+    if q == 0:
         return columns
-    response = _power_series_inverse(ma, n)
-    used = int(np.flatnonzero(np.abs(response) > 1e-15)[-1]) + 1
-    width = 1 << (n + used - 2).bit_length()
-    spectrum = np.fft.rfft(response[:used], width)
-    return np.fft.irfft(np.fft.rfft(columns, width, axis=0) * spectrum[:, None], width, axis=0)[:n]
+    size = max(64, q)
+    weights, response = ma.tolist(), [1.0]
+    for k in range(1, size):
+        response.append(-sum(w * r for w, r in zip(weights, reversed(response))))
+    back = np.subtract.outer(np.arange(size), np.arange(size))
+    inside = np.where(back >= 0, np.array(response)[np.maximum(back, 0)], 0.0)
+    padded = np.concatenate([-ma, np.zeros(size + q)])
+    carry = inside @ padded[np.add.outer(np.arange(size), np.arange(q))]
+    count = -(-n // size)
+    blocks = np.zeros((count * size, width))
+    blocks[:n] = columns
+    alone = inside @ blocks.reshape(count, size, width)
+    last = size - 1 - np.arange(q)
+    ends, step = alone[:, last], carry[last]
+    states, state = np.empty((count, q, width)), np.zeros((q, width))
+    for block in range(count):
+        states[block] = state
+        state = ends[block] + step @ state
+    return (alone + carry @ states).reshape(-1, width)[:n]
 
 
 def _lags(x: np.ndarray, count: int, start: int) -> np.ndarray:
