@@ -66,8 +66,11 @@ def histogram(area_totals: DataFrame, bins: int = 80, log_scale: bool = False) -
 _KERNEL_REACH = 39.0
 
 
-def density(area_totals: DataFrame, points: int = 200, log_scale: bool = False) -> DataFrame:
-    """``point, x, density``: Gaussian kernel density over the data range, bandwidth by Scott's rule.
+def density(area_totals: DataFrame, points: int = 200, log_scale: bool = False, bins: int = 80) -> DataFrame:
+    """``point, x, density, expected_count``: Gaussian kernel density over the data range, bandwidth by Scott's rule.
+
+    ``expected_count`` is the density on the scale of a histogram with ``bins`` bins; on the log
+    scale both refer to log10.
 
     Every total contributes only to grid points its kernel can reach, and the sums per point are
     combined on the map side, so the shuffle carries ``points`` rows per task. Without spread the
@@ -93,10 +96,12 @@ def density(area_totals: DataFrame, points: int = 200, log_scale: bool = False)
     grid = area_totals.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
     norm = frame["n"] * frame["h"] * F.lit(2.5066282746310002)  # sqrt(2 pi)
     at = frame["lo"] + F.col("point") * step
+    share = F.try_divide(F.coalesce("mass", F.lit(0.0)), norm)
     return grid.join(sums, "point", "left").select(
         "point",
         (F.pow(F.lit(10.0), at) if log_scale else at).alias("x"),
-        F.try_divide(F.coalesce("mass", F.lit(0.0)), norm).alias("density"),
+        share.alias("density"),
+        (share * frame["n"] * (frame["hi"] - frame["lo"]) / F.lit(bins)).alias("expected_count"),
     )
 
 

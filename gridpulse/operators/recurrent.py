@@ -58,7 +58,7 @@ def new_weights(cell: str, units: int, layers: int, rng: np.random.Generator) ->
     return [*out, rng.uniform(-limit, limit, (units, 1)), np.zeros((1, 1))]
 
 
-def _lstm_forward(x: np.ndarray, kernel, recurrent, bias):
+def _lstm_forward(x: np.ndarray, kernel, recurrent, bias, record: bool = True):
     units = recurrent.shape[0]
     h = c = np.zeros((len(x), units), x.dtype)
     fed, outs, tape = x @ kernel + bias[0], [], []
@@ -72,7 +72,8 @@ def _lstm_forward(x: np.ndarray, kernel, recurrent, bias):
         squashed = np.tanh(c)
         h = o * squashed
         outs.append(h)
-        tape.append((before, held, i, f, g, o, squashed))
+        if record:
+            tape.append((before, held, i, f, g, o, squashed))
     return np.stack(outs, axis=1), tape
 
 
@@ -91,7 +92,7 @@ def _lstm_backward(x, tape, grad_out, kernel, recurrent, bias):
     return dz_all @ kernel.T, [np.einsum("bti,btj->ij", x, dz_all), d_rec, dz_all.sum(axis=(0, 1))[None]]
 
 
-def _gru_forward(x: np.ndarray, kernel, recurrent, bias):
+def _gru_forward(x: np.ndarray, kernel, recurrent, bias, record: bool = True):
     units = recurrent.shape[0]
     h = np.zeros((len(x), units), x.dtype)
     fed, outs, tape = x @ kernel + bias[0], [], []
@@ -104,7 +105,8 @@ def _gru_forward(x: np.ndarray, kernel, recurrent, bias):
         before = h
         h = z * before + (1.0 - z) * n
         outs.append(h)
-        tape.append((before, z, r, inner, n))
+        if record:
+            tape.append((before, z, r, inner, n))
     return np.stack(outs, axis=1), tape
 
 
@@ -129,11 +131,15 @@ def _gru_backward(x, tape, grad_out, kernel, recurrent, bias):
 _STEPS = {"LSTM": (_lstm_forward, _lstm_backward), "GRU": (_gru_forward, _gru_backward)}
 
 
-def predict(cell: str, weights: list[np.ndarray], x: np.ndarray) -> np.ndarray:
-    seen = x
-    for at in range(0, len(weights) - 2, 3):
-        seen, _ = _STEPS[cell][0](seen, *weights[at: at + 3])
-    return (seen[:, -1] @ weights[-2] + weights[-1])[:, 0]
+def predict(cell: str, weights: list[np.ndarray], x: np.ndarray, rows: int = 512) -> np.ndarray:
+    """Predictions for all windows, ``rows`` at a time, so that memory does not grow with the series."""
+    out = []
+    for begin in range(0, len(x), rows):
+        seen = x[begin: begin + rows]
+        for at in range(0, len(weights) - 2, 3):
+            seen, _ = _STEPS[cell][0](seen, *weights[at: at + 3], record=False)
+        out.append((seen[:, -1] @ weights[-2] + weights[-1])[:, 0])
+    return np.concatenate(out)
 
 
 def gradients(cell: str, weights: list[np.ndarray], x: np.ndarray, y: np.ndarray,
@@ -160,6 +166,8 @@ def gradients(cell: str, weights: list[np.ndarray], x: np.ndarray, y: np.ndarray
 def train(cell: str, units: int, data: dict[str, tuple[np.ndarray, np.ndarray]], how: Training,
           seed: int) -> tuple[list[np.ndarray], dict[str, list[float]]]:
     """Adam on the squared error; stops when the validation loss stalls and returns its best weights."""
+    if len(data["train"][1]) == 0:
+        raise ValueError("no training window is left beside the validation windows")
     rng = np.random.default_rng(seed)
     weights = [w.astype(np.float32) for w in new_weights(cell, units, how.layers, rng)]
     means, squares = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]

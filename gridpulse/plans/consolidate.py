@@ -11,7 +11,8 @@ from gridpulse.sources.tables import read_stored, write_matrix
 
 def stage_raw(spark: SparkSession, paths: list[str], store: str, offset_hours: int = 1, by: str = "file") -> DataFrame:
     """Parse the text once: partial sums per area, interval and delivery as Parquet."""
-    records = raw.activity(raw.scan(spark, *paths), offset_hours, by)
+    root = paths[0] if len(paths) == 1 else ""
+    records = raw.activity(raw.scan(spark, *paths), offset_hours, by, root)
     rollup(records, "area_id", "ts", "source").write.mode("overwrite").parquet(store)
     return read_stored(spark, store)
 

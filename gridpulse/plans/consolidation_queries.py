@@ -217,7 +217,7 @@ def missing_as_zero(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT area_id, ts, value FROM ({BY_USER}) WHERE {IN_STUDY}")
 def study_window(spark: SparkSession, sf: str) -> DataFrame:
-    return series.clip_to_dates(views.by_user(spark, sf), *views.STUDY)
+    return views.by_user(spark, sf, views.STUDY)
 
 
 @query(f"""{USER_DENSE}, {_TARGETS} SELECT label, CAST(t.area_id AS INT) AS area_id, ts, round(value, 6) AS value

@@ -68,22 +68,28 @@ def _density_sql(log: bool) -> str:
     x, back = ("log10(total_traffic)", "pow(10, {})") if log else ("total_traffic", "{}")
     return f"""WITH v AS (SELECT {x} AS x FROM ({PART_TOTALS}) {"WHERE total_traffic > 0" if log else ""}),
 f AS (SELECT min(x) AS lo, max(x) AS hi, count(*)::DOUBLE AS n, stddev_samp(x) * pow(count(*)::DOUBLE, -0.2) AS h FROM v),
-g AS (SELECT CAST(p AS INT) AS point, lo + p * (hi - lo) / 199 AS x, n, h FROM f, (SELECT unnest(range(0, 200)) AS p))
+g AS (SELECT CAST(p AS INT) AS point, lo + p * (hi - lo) / 199 AS x, n, h, lo, hi FROM f, (SELECT unnest(range(0, 200)) AS p))
 SELECT g.point, round({back.format("any_value(g.x)")}, 4) AS x,
-  round(sum(exp(-0.5 * pow((g.x - v.x) / h, 2))) / any_value(n * h * 2.5066282746310002), 8) AS density
+  round(sum(exp(-0.5 * pow((g.x - v.x) / h, 2))) / any_value(n * h * 2.5066282746310002), 8) AS density,
+  round(sum(exp(-0.5 * pow((g.x - v.x) / h, 2))) / any_value(h * 2.5066282746310002) * any_value(hi - lo) / 80, 6) AS expected_count
 FROM g CROSS JOIN v GROUP BY g.point"""
 
 
+def _shown_curve(curve: DataFrame) -> DataFrame:
+    return curve.select("point", rounded(F.col("x"), 4).alias("x"), rounded(F.col("density"), 8).alias("density"),
+                        rounded(F.col("expected_count")).alias("expected_count"))
+
+
 @query(_density_sql(False))
 def density_curve(spark: SparkSession, sf: str) -> DataFrame:
     curve = distribution.density(views.part_totals(spark, sf))
-    return curve.select("point", rounded(F.col("x"), 4).alias("x"), rounded(F.col("density"), 8).alias("density"))
+    return _shown_curve(curve)
 
 
 @query(_density_sql(True))
 def log_density_curve(spark: SparkSession, sf: str) -> DataFrame:
     curve = distribution.density(views.part_totals(spark, sf), log_scale=True)
-    return curve.select("point", rounded(F.col("x"), 4).alias("x"), rounded(F.col("density"), 8).alias("density"))
+    return _shown_curve(curve)
 
 
 @query(f"""WITH t AS ({PART_TOTALS}), g AS (SELECT CAST(ceil(sqrt(max(area_id))) AS INT) AS side FROM t),

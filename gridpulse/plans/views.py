@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridpulse.functions.calendar import bucket_start
+from gridpulse.operators.series import clip_to_dates
 from gridpulse.session import scratch_path
 
 # Event types in alphabetical order; their position is the area id.
@@ -33,9 +34,12 @@ def by_type(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def by_user(spark: SparkSession, folder: str) -> DataFrame:
-    """Many areas with sparse records."""
-    return table(spark, folder, "events").select(
+def by_user(spark: SparkSession, folder: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """Many areas with sparse records. A date range is applied to the stored column, so that it reaches the scan."""
+    events = table(spark, folder, "events")
+    if days:
+        events = clip_to_dates(events, *days)
+    return events.select(
         (F.col("user_id") + 1).cast("int").alias("area_id"), bucket_start("ts", "1 hour").alias("ts"), "value"
     )
 

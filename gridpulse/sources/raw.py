@@ -38,11 +38,15 @@ def total_bytes(files: DataFrame) -> DataFrame:
     return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
-def source_of(path: Column, by: str = "file") -> Column:
-    """What one day's delivery is called: the file, or its folder where a day comes as many part files."""
+def source_of(path: Column, by: str = "file", root: str = "") -> Column:
+    """What one day's delivery is called: the file, or its folder where a day comes as many part files.
+
+    Cutting out the common ``root`` keeps the order and makes the key that travels with every cell short.
+    """
     if by not in ("file", "folder"):
         raise ValueError("by must be 'file' or 'folder'")
-    return path if by == "file" else F.regexp_replace(path, "/[^/]*$", "")
+    name = path if by == "file" else F.regexp_replace(path, "/[^/]*$", "")
+    return F.replace(name, F.lit(root), F.lit("")) if root else name
 
 
 def first_sources(files: DataFrame, count: int, by: str = "file") -> list[str]:
@@ -59,13 +63,13 @@ def scan(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def activity(raw: DataFrame, offset_hours: int = 1, by: str = "file") -> DataFrame:
+def activity(raw: DataFrame, offset_hours: int = 1, by: str = "file", root: str = "") -> DataFrame:
     """``area_id, ts, value, source``: the scan is pruned to three of the eight columns."""
     return raw.select(
         F.col("square_id").alias("area_id"),
         local_time("time_ms", offset_hours).alias("ts"),
         F.col("internet").alias("value"),
-        source_of(F.col("_metadata.file_path"), by).alias("source"),
+        source_of(F.col("_metadata.file_path"), by, root).alias("source"),
     )
 
 

@@ -29,7 +29,7 @@ def ingest_new_files(spark: SparkSession, folder: str, store: str, checkpoint: s
         rollup(batch, *KEYS).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
 
     query = (
-        raw.activity(stream, offset_hours, by).writeStream.foreachBatch(append)
+        raw.activity(stream, offset_hours, by, folder).writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

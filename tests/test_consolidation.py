@@ -172,6 +172,21 @@ def test_global_rank_with_long_ties(spark):
     assert picks == {0: want[333][0], 1: want[666][0]}
 
 
+def test_global_rank_over_several_sort_tasks(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        frame = spark.range(5000).selectExpr("CAST(id AS INT) AS area_id", "CAST(id % 3 AS DOUBLE) AS total_traffic")
+        ranked = areas.ranked_by_total(frame)
+        assert ranked.select(F.spark_partition_id()).distinct().count() > 1
+        got = [(r.area_id, r.rank) for r in ranked.orderBy("rank").collect()]
+    finally:
+        spark.conf.set(key, held)
+    want = sorted(range(5000), key=lambda i: (-(i % 3), i))
+    assert got == [(a, i) for i, a in enumerate(want)]
+
+
 def test_one_area(daily):
     frame = daily({1: [1, 2], 7: [3, 4]})
     assert {r.series for r in series.one_area(frame, 7).collect()} == {"area_7"}
@@ -194,6 +209,8 @@ def test_stored_tables(spark, daily, tmp_path):
     stored = tables.read_matrix(spark, path)
     assert dict(stored.dtypes)["value"] == "float"
     assert cells(stored) == cells(frame)
+    clipped = series.clip_to_dates(stored, "2024-01-02", "2024-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-02T00:00)" in clipped and "LessThan(ts,2024-01-03T00:00)" in clipped
     plan = stored.where("day = DATE'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
     with pytest.raises(FileNotFoundError):
