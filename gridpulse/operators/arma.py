@@ -145,8 +145,8 @@ def fit_arma(w: np.ndarray, p: int, q: int, maxiter: int = 50) -> Fit:
 
 def _with_history(series: DataFrame, split: Split, period: int, times: int, tail_rows: int | None) -> DataFrame:
     """Labelled rows with ``lagged`` and the seasonally differenced ``diff``, in training-then-test order."""
-    if times not in (0, 1):
-        raise ValueError("only 0 or 1 seasonal differences are supported")
+    if times not in (0, 1) or period < 1:
+        raise ValueError("only 0 or 1 seasonal differences of a positive period are supported")
     rows = split_rows(series.where(F.col("value").isNotNull()), split)
     area = Window.partitionBy("area_id")
     order = area.orderBy(*split.order())

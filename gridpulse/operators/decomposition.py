@@ -99,7 +99,12 @@ def stl(y: np.ndarray, period: int, seasonal: int = 7, robust: bool = True) -> t
 
 
 def decompose(series: DataFrame, period: int = 144, seasonal: int = 7, robust: bool = True) -> DataFrame:
-    """Observed, trend, seasonal and residual beside every ``(area_id, ts)``."""
+    """Observed, trend, seasonal and residual beside every ``(area_id, ts)``.
+
+    A group is one area's rolled-up series. The job fails for a series shorter than two periods.
+    """
+    if period < 2 or seasonal < 3 or seasonal % 2 == 0:
+        raise ValueError("period must be at least 2, and the seasonal window odd and at least 3")
     ship_package(series.sparkSession)
 
     def of_area(rows: pd.DataFrame) -> pd.DataFrame:

@@ -71,12 +71,16 @@ def rolling(series: DataFrame, window: int) -> DataFrame:
 
 def with_lag(series: DataFrame, period: int, name: str = "lagged", order: list[str] | None = None) -> DataFrame:
     """Each value beside the one ``period`` rows earlier in ``order`` (time order by default)."""
+    if period < 1:
+        raise ValueError("period must be positive")
     in_order = Window.partitionBy("area_id").orderBy(*(order or ["ts"]))
     return series.withColumn(name, F.lag("value", period).over(in_order))
 
 
 def seasonal_difference(series: DataFrame, period: int, times: int = 1, order: list[str] | None = None) -> DataFrame:
     """``x_t - x_(t-period)`` applied ``times`` times as column ``diff``; rows without a full history are dropped."""
+    if period < 1 or times < 0:
+        raise ValueError("period must be positive and times must not be negative")
     in_order = Window.partitionBy("area_id").orderBy(*(order or ["ts"]))
     out = series.withColumn("diff", F.col("value"))
     for _ in range(times):

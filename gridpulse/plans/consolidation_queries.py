@@ -164,20 +164,20 @@ targets AS (
 )"""
 
 
-def _targets(spark: SparkSession, sf: str) -> DataFrame:
+def target_ids(spark: SparkSession, sf: str) -> DataFrame:
     totals = areas.totals_of_records(views.by_user(spark, sf), views.STUDY).withColumn("total_traffic", F.round("total_traffic", 6))
     return areas.target_areas(totals, FIXED)
 
 
 @query(f"{USER_DENSE}, {_TARGETS} SELECT label, CAST(area_id AS INT) AS area_id FROM targets")
 def target_areas(spark: SparkSession, sf: str) -> DataFrame:
-    return _targets(spark, sf)
+    return target_ids(spark, sf)
 
 
 @query(f"{USER_DENSE}, {_TARGETS} SELECT label, CAST(area_id AS INT) AS area_id FROM targets")
 def targets_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "targets")
-    tables.write_targets(_targets(spark, sf), path)
+    tables.write_targets(target_ids(spark, sf), path)
     return tables.read_targets(spark, path)
 
 
@@ -223,7 +223,7 @@ def study_window(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""{USER_DENSE}, {_TARGETS} SELECT label, CAST(t.area_id AS INT) AS area_id, ts, round(value, 6) AS value
 FROM targets t JOIN dense d ON d.area_id = t.area_id WHERE {IN_FIRST_WEEKS}""")
 def first_two_weeks(spark: SparkSession, sf: str) -> DataFrame:
-    rows = series.of_targets(user_series(spark, sf), _targets(spark, sf), *views.FIRST_WEEKS)
+    rows = series.of_targets(user_series(spark, sf), target_ids(spark, sf), *views.FIRST_WEEKS)
     return _shown(rows, "label", "area_id", "ts")
 
 

@@ -32,9 +32,10 @@ def forecast_run(series: DataFrame, split: Split, order: arma.Order = (2, 0, 2),
         networks.select("area_id", F.col("cell").alias("model"), "train_time_s", "predict_time_s")
     )
     metrics = scoring.evaluate(predictions, "area_id", "model")
+    measured = timing.groupBy("model").agg(F.format_string("mean of %d areas", F.count("*")).alias("measured_over"))
     return Run(
         predictions, metrics, timing,
-        scoring.mean_by(timing, "model", "train_time_s", "predict_time_s"),
+        scoring.mean_by(timing, "model", "train_time_s", "predict_time_s").join(measured, "model"),
         scoring.mean_by(metrics, "model", "MAE", "RMSE", "MAPE"),
         recurrent.training_curves(networks),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from gridpulse.functions.scalars import clip_at_zero, rounded
 from gridpulse.operators import arma, experiments, preparation, recurrent, scoring, temporal
 from gridpulse.plans import views
-from gridpulse.plans.consolidation_queries import supplier_series, type_series, user_series
+from gridpulse.plans.consolidation_queries import supplier_series, target_ids, type_series, user_series
 from gridpulse.plans.exploration_queries import _rounded
 from gridpulse.plans.forecast import forecast_run
 from gridpulse.plans.oracle_views import BEFORE_TEST, IN_TEST, TYPE_DENSE, USER_DENSE
@@ -348,6 +348,14 @@ def candidate_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- the full run ------------------------------------------------------------------------------
 
+@query()
+def forecast_targets_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The busiest and the two fixed areas: mean error per model over them."""
+    targets = materialize(target_ids(spark, sf))
+    chosen = user_series(spark, sf).join(F.broadcast(targets.select("area_id").distinct()), "area_id", "left_semi")
+    return forecast_run(materialize(chosen), BEFORE, period=views.PERIOD).metric_summary
+
+
 @query()
 def forecast_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Every area by three models, scored; the timing and summary tables come from the same fits."""

@@ -242,5 +242,6 @@ def test_forecast_run(daily):
     run = forecast_run(daily({1: seasonal_series()}, step=HOUR), SPLIT, (1, 0, 0), 24, 6, 4, recurrent.Training(epochs=2))
     assert {r.model for r in run.metrics.collect()} == {"SARIMA", "LSTM", "GRU"}
     assert run.predictions.count() == 3 * 48 and run.timing.count() == 3
-    assert run.timing_summary.columns == ["model", "train_time_s", "predict_time_s"]
+    assert run.timing_summary.columns == ["model", "train_time_s", "predict_time_s", "measured_over"]
+    assert {r.measured_over for r in run.timing_summary.collect()} == {"mean of 1 areas"}
     assert run.metric_summary.count() == 3 and run.curves.count() <= 4
