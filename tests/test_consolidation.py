@@ -125,6 +125,12 @@ def test_incremental_ingest_equals_batch(spark, tmp_path):
     assert max(ts for _, ts in batch) == datetime(2013, 11, 2, 0, 30)
     ingest_new_files(spark, str(folder), store, checkpoint)
     assert cells(read_ingested(spark, store)) == batch
+    # As after a driver lost between writing the last batch and noting it: the batch is replayed, nothing doubles.
+    commits = tmp_path / "checkpoint" / "commits"
+    for note in (commits / "1", commits / ".1.crc"):
+        note.unlink()
+    ingest_new_files(spark, str(folder), store, checkpoint)
+    assert (commits / "1").exists() and cells(read_ingested(spark, store)) == batch
     sourced = read_ingested(spark, store, keep_source=True)
     assert cells(series.dense_series(sourced, source="source")) == batch
 
@@ -142,6 +148,22 @@ def test_dense_series_with_hot_area(spark):
     assert sums == {1: 20_000.0, 2: 2.0, 3: 2.0}
 
 
+def test_dense_series_without_broadcast(spark, daily, monkeypatch):
+    """Beyond the row limit the axis is joined by sort-merge; the result is the same."""
+    records = daily({1: [1, 2, 3, 4], 5: [7]}).union(daily({2: [9, 9]}, start=datetime(2024, 1, 3)))
+    want = cells(series.dense_series(records))
+    monkeypatch.setattr("gridpulse.session.BROADCAST_MAX_ROWS", 1)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        dense = series.dense_series(records)
+        assert "SortMergeJoin" in dense._jdf.queryExecution().executedPlan().toString()
+        assert cells(dense) == want and len(want) == 12
+    finally:
+        spark.conf.set(threshold, held)
+
+
 def test_dense_series_shuffles_twice_and_windows_reuse_it(spark, daily):
     from gridpulse.operators import anomaly, temporal
 
