@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gridpulse.session import scratch_path, ship_package
@@ -90,3 +90,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_IDS = 1_000_000
+
+
+def broadcast_ids(ids: DataFrame) -> DataFrame:
+    """``ids`` (one stored column of longs) for broadcast if there are at most ``BROADCAST_IDS`` of them, 8 MB; else for a plain join."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

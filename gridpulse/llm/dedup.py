@@ -20,6 +20,11 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
 
 
+def digest(text: Column) -> Column:
+    """SHA-256 of the normalised text, 32 bytes."""
+    return F.unhex(F.sha2(normalised(text), 256))
+
+
 def distinct_digests(rows: DataFrame) -> DataFrame:
     """One row per digest with its smallest id and number of rows. Copies combine before the shuffle, so no digest is hot."""
     return rows.groupBy("digest").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("winner"), F.count("*").alias("copies"))
@@ -157,7 +162,7 @@ def deduplicate(docs: DataFrame, is_history: Column) -> DataFrame:
     false. Either side may be empty. Columns beside ``doc_id`` and ``text`` (and those of ``is_history``) play no part.
     """
     marked = docs.select("doc_id", F.coalesce(is_history, F.lit(False)).alias("old"), "text")
-    rows = stored(marked.select("doc_id", "old", F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest")), "digests")
+    rows = stored(marked.select("doc_id", "old", digest(F.col("text")).alias("digest")), "digests")
     history = stored(distinct_digests(rows.filter("old")), "history")
     batch = stored(distinct_digests(rows.filter("NOT old")), "batch")
     shards = shards_for(max(history.count(), batch.count()))

@@ -40,7 +40,7 @@ judged AS (
     ) AS fails
     FROM (
         SELECT *, length(array_to_string(own, '')) AS chars, len(regexp_extract_all(line, '{quality.MARKS}')) AS marks,
-            len(list_filter(own, x -> x IN ({_SEPARATORS}))) AS separators
+            len(list_filter(own, lambda x: x IN ({_SEPARATORS}))) AS separators
         FROM lines
     )
 ),
@@ -66,3 +66,33 @@ QUALITY_SQL = f"""
 WITH docs AS (SELECT doc_id, text FROM documents), {QUALITY_CTES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_failed_lines, lost_chars FROM cleaned
 """
+
+
+def jaccard_ctes(source: str) -> str:
+    """From a table `source` (doc_id, text): `joined` with the set size and the component of every document."""
+    return f"""
+jw AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words
+    FROM {source}
+),
+shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 2), ' ') AS s
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM jw WHERE len(words) > 0)
+),
+sized AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sized x ON x.doc_id = a.doc_id JOIN sized y ON y.doc_id = b.doc_id
+    WHERE 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM {source} UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+joined AS (
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+    FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    LEFT JOIN sized USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY a) USING (doc_id)
+)"""
+
+
+JACCARD_SQL = f"WITH RECURSIVE {jaccard_ctes('documents')} SELECT doc_id, n_shingles, component_id, n_links FROM joined"

@@ -112,6 +112,8 @@ def clean(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     whatever their names. ``clean_text`` is the text without its failing lines (lines without words stay).
     """
     names = [c.split()[0] for c in COLUMNS.split(", ")]
+    if clash := {*keep} & {"_text", *names}:
+        raise ValueError(f"columns {sorted(clash)} of the input would hide results")
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
         found = list(zip(*map(measure, batch["_text"]))) or [()] * len(names)

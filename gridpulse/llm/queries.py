@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import dedup, packing, quality, secrets
+from gridpulse.llm import dedup, ngram_join, packing, quality, secrets
 from gridpulse.llm.common import table
-from gridpulse.llm.oracles import EXACT_DEDUP_SQL, QUALITY_SQL
+from gridpulse.llm.oracles import EXACT_DEDUP_SQL, JACCARD_SQL, QUALITY_SQL
 from gridpulse.plans.registry import query
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,12 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"), RANKS).drop("redacted")
 
 
+@query(JACCARD_SQL)
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Set size, component and number of links per document."""
+    return ngram_join.join(table(spark, folder, "documents"))
+
+
 def older_half(docs: DataFrame):
     """Condition: the id is at most halfway between the smallest and the largest."""
     middle = docs.agg(((F.min("doc_id") + F.max("doc_id")) / 2).cast("long").alias("m")).first()["m"]

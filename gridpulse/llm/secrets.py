@@ -100,6 +100,8 @@ def scan(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), max_ra
     ``path`` is the tiktoken vocabulary file.
     """
     names = [c.split()[0] for c in COLUMNS.split(", ")]
+    if clash := {*keep} & {"_text", *names}:
+        raise ValueError(f"columns {sorted(clash)} of the input would hide results")
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
         found = list(zip(*(examine(t, path, max_ratio) for t in batch["_text"]))) or [()] * len(names)
