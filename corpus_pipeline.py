@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridpulse.llm import dedup, ngram_join, packing, quality, secrets
 from gridpulse.llm.common import stored, table
@@ -17,7 +17,10 @@ from gridpulse.llm.queries import RANKS, TOKENIZER, older_half
 from gridpulse.plans.registry import query
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-_ID = F.coalesce("doc_id", F.lit(dedup.NO_ID)).alias("_id")
+
+
+def _id() -> Column:
+    return F.coalesce("doc_id", F.lit(dedup.NO_ID)).alias("_id")
 
 
 def _with_text(rows: DataFrame, text: str) -> DataFrame:
@@ -32,15 +35,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays, once."""
-    stay = dedup.deduplicate(docs, older_half(docs)).filter("kept").select(_ID, "digest")
-    keyed = docs.select(*COLUMNS, _ID, dedup.digest(F.col("text")).alias("digest"))
+    stay = dedup.deduplicate(docs, older_half(docs)).filter("kept").select(_id(), "digest")
+    keyed = docs.select(*COLUMNS, _id(), dedup.digest(F.col("text")).alias("digest"))
     return keyed.join(stay, ["_id", "digest"], "left_semi").dropDuplicates(["_id", "digest"]).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id stays."""
-    first = ngram_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_ID).distinct()
-    return docs.select(*COLUMNS, _ID).join(first, "_id", "left_semi").select(*COLUMNS)
+    first = ngram_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_id()).distinct()
+    return docs.select(*COLUMNS, _id()).join(first, "_id", "left_semi").select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
