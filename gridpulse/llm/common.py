@@ -24,10 +24,9 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").split() if text else []
 
 
-def word_hashes(tokens: list[bytes], seed: int = 0) -> np.ndarray:
+def word_hashes(tokens: list[bytes]) -> np.ndarray:
     """A 64-bit hash per word."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(t, seed) for t in tokens), np.uint64, len(tokens))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -39,15 +38,25 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def rolling_hashes(hashes: np.ndarray, length: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """Rabin-Karp over words modulo 2**64: one value per run of ``length`` neighbours, by Horner's rule on all runs at once."""
+    """Rabin-Karp over words modulo 2**64: one value per run of ``length`` neighbours, for all runs at once.
+
+    Runs are put together by doubling: the value of two runs side by side is ``left * base**len(right) + right``.
+    """
     n = len(hashes) - length + 1
     if n < 1:
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
-        rolled = np.zeros(n, np.uint64)
-        for k in range(length):
-            rolled = rolled * np.uint64(base) + hashes[k:k + n]
-    return mixed(rolled)
+        run, done, power = hashes, 1, base
+        rolled, have = None, 0
+        while True:
+            if length & done:
+                if rolled is None:
+                    rolled, have = run, done
+                else:
+                    rolled, have = rolled[:len(run) - have] * np.uint64(power) + run[have:][:len(rolled)], have + done
+            if 2 * done > length:
+                return mixed(rolled[:n])
+            run, done, power = run[:len(run) - done] * np.uint64(power) + run[done:], 2 * done, power * power % 2**64
 
 
 def signed(h: np.ndarray) -> np.ndarray:
@@ -85,11 +94,22 @@ def map_batches(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]
     return df.mapInArrow(run, kind)
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` as Parquet to a fresh place in the shared folder and reads it back: computed once, survives lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes ``df`` as Parquet to a fresh place in the shared folder and reads it back: computed once, survives lost executors.
+
+    The shuffle files of the write are freed as soon as it is done.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 BROADCAST_IDS = 1_000_000

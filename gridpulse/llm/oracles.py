@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridpulse.llm import quality
+from gridpulse.llm import quality, substrings
 from gridpulse.llm.common import SPACES, WORD
 
 EXACT_DEDUP_SQL = f"""
@@ -96,3 +96,23 @@ joined AS (
 
 
 JACCARD_SQL = f"WITH RECURSIVE {jaccard_ctes('documents')} SELECT doc_id, n_shingles, component_id, n_links FROM joined"
+
+SUBSTRING_SQL = f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+windows AS (
+    SELECT doc_id, i, sha256(array_to_string(list_slice(words, i, i + {substrings.WINDOW_WORDS - 1}), ' ')) AS h
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - {substrings.WINDOW_WORDS - 2})) AS i FROM t)
+),
+starts AS (SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+gone AS (
+    SELECT doc_id, list(i ORDER BY i) AS removed
+    FROM (SELECT DISTINCT doc_id, i + k AS i FROM starts, range({substrings.WINDOW_WORDS}) AS r(k)) GROUP BY doc_id
+),
+left_over AS (
+    SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept FROM (
+        SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM t
+    ) w ANTI JOIN (SELECT doc_id, unnest(removed) AS i FROM gone) g USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(len(removed), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN gone USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""

@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import dedup, ngram_join, packing, quality, secrets
+from gridpulse.llm import dedup, ngram_join, packing, quality, secrets, substrings
 from gridpulse.llm.common import table
-from gridpulse.llm.oracles import EXACT_DEDUP_SQL, JACCARD_SQL, QUALITY_SQL
+from gridpulse.llm.oracles import EXACT_DEDUP_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL
 from gridpulse.plans.registry import query
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,13 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.clean(table(spark, folder, "documents")).drop("clean_text")
 
 
+@query(SUBSTRING_SQL)
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without its repeated passages, as a digest."""
+    return substrings.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query()
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets per document, from the fixed patterns and from the token-efficiency test."""
