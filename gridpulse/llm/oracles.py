@@ -116,3 +116,16 @@ left_over AS (
 SELECT doc_id, len(words) AS n_words, coalesce(len(removed), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM t LEFT JOIN gone USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
+
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = " || ".join(
+    f"substr('{_LETTERS}', ((('0x' || substr(h, {at + 1}, 5))::INT >> {shift}) & 31) + 1, 1)" for at in range(0, 40, 5) for shift in (15, 10, 5, 0)
+)
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> top THEN top END AS refers_to
+FROM t
+"""

@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import dedup, ngram_join, packing, quality, secrets, substrings
+from gridpulse.llm import dedup, ngram_join, packing, quality, secrets, substrings, warc
 from gridpulse.llm.common import table
-from gridpulse.llm.oracles import EXACT_DEDUP_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL
+from gridpulse.llm.oracles import EXACT_DEDUP_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL, WARC_SQL
 from gridpulse.plans.registry import query
+from gridpulse.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +27,14 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.clean(table(spark, folder, "documents")).drop("clean_text")
 
 
+@query(WARC_SQL)
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to WARC archives in the shared folder and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, folder, "pages"), path)
+    return warc.checked(spark, path)
+
+
 @query(SUBSTRING_SQL)
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without its repeated passages, as a digest."""
