@@ -129,3 +129,17 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id =
     CASE WHEN page_id <> top THEN top END AS refers_to
 FROM t
 """
+
+# For the markup of these tables: one article per page, of headings and paragraphs.
+HTML_SQL = r"""
+WITH b AS (
+    SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's'), '</?(?:p|h1)>') AS parts FROM pages
+),
+d AS (
+    SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda p: trim(regexp_replace(
+        regexp_replace(regexp_replace(replace(replace(regexp_replace(regexp_replace(p, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
+        '\s+', ' ', 'g'))), lambda p: p <> ''), chr(10)) AS text FROM b
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM d
+"""

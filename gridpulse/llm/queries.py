@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import dedup, ngram_join, packing, quality, secrets, substrings, warc
+from gridpulse.llm import dedup, html, ngram_join, packing, quality, secrets, substrings, warc
 from gridpulse.llm.common import table
-from gridpulse.llm.oracles import EXACT_DEDUP_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL, WARC_SQL
+from gridpulse.llm.oracles import EXACT_DEDUP_SQL, HTML_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL, WARC_SQL
 from gridpulse.plans.registry import query
 from gridpulse.session import scratch_path
 
@@ -27,6 +27,12 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.clean(table(spark, folder, "documents")).drop("clean_text")
 
 
+@query(HTML_SQL)
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, folder, "pages"))
+
+
 @query(WARC_SQL)
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to WARC archives in the shared folder and read back."""
