@@ -13,7 +13,7 @@ import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from gridpulse.session import ship_package
 CAPACITY = 1024
 END_ID = 2
 # Words that a worker keeps encoded; beyond that it starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 200_000
 LONGEST_CACHED = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECES}, sequence_id long, offset long"
@@ -70,14 +70,19 @@ class ByteLevelEncoder:
     """
 
     def __init__(self, tokenizer: str, ranks: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.path = tokenizer
         vocabulary = rank_vocabulary(ranks)
         self.first, self.spaced = CachedWords(vocabulary, ""), CachedWords(vocabulary, " ")
         self.line_break = packed(vocabulary.encode_ordinary("\n"))
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        loaded = Tokenizer.from_file(self.path)
+        loaded.encode_special_tokens = True
+        return loaded
+
     def ids(self, text: str) -> bytes:
         if not evenly_spaced(text):
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
