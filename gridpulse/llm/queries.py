@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import dedup, html, ngram_join, packing, quality, secrets, substrings, warc
+from gridpulse.llm import dedup, html, ngram_join, packing, quality, secrets, substrings, toxicity, warc
 from gridpulse.llm.common import table
 from gridpulse.llm.oracles import EXACT_DEDUP_SQL, HTML_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL, WARC_SQL
 from gridpulse.plans.registry import query
@@ -15,6 +15,12 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+@query()
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document, learned from the labels that are not held out."""
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query()
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
