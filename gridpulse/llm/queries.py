@@ -5,13 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import dedup, html, ngram_join, packing, quality, secrets, substrings, toxicity, warc
+from gridpulse.llm import dedup, html, ngram_join, packing, quality, secrets, sentencepieces, substrings, toxicity, warc
 from gridpulse.llm.common import table
 from gridpulse.llm.oracles import EXACT_DEDUP_SQL, HTML_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL, WARC_SQL
 from gridpulse.plans.registry import query
 from gridpulse.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+SENTENCE_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -54,6 +55,12 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query()
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, counted and summed up, and whether they decode to the text."""
+    return sentencepieces.round_trip(table(spark, folder, "documents"), SENTENCE_PIECES)
+
+
 @query()
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets per document, from the fixed patterns and from the token-efficiency test."""
