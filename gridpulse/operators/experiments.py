@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.functions.scalars import order_text
-from gridpulse.operators import arma, recurrent, scoring
+from gridpulse.operators import arma, scoring
 from gridpulse.operators.preparation import Split
 from gridpulse.session import materialize
 
@@ -17,30 +17,14 @@ LOOKBACKS = (12, 72, 144, 288)
 UNITS = (32, 64, 128)
 
 
-def parameter_grid(spark: SparkSession, **values: Sequence[int]) -> DataFrame:
-    """All combinations of the named values, generated from one row."""
-    grid = spark.range(1).select()
+def candidate_grid(areas: DataFrame, **values: Sequence[int]) -> DataFrame:
+    """Every area with all combinations of the named values, generated row by row."""
+    grid = areas
     for name, options in values.items():
         grid = grid.withColumn(name, F.explode(F.array(*[F.lit(v) for v in options])))
     return grid
 
 
-def network_search(series: DataFrame, split: Split, cell: str = "LSTM", lookbacks: tuple[int, ...] = LOOKBACKS,
-                   units: tuple[int, ...] = UNITS, how: recurrent.Training = recurrent.Training(),
-                   kind: str = "minmax") -> DataFrame:
-    """Grid search scored on the validation windows, best validation RMSE first."""
-    fits = materialize(recurrent.fit_networks(series, split, (cell,), lookbacks, units, how, kind=kind, score_on="val"))
-    keys = ("area_id", "lookback", "units")
-    scores = scoring.evaluate(recurrent.predictions(fits, kind), *keys)
-    facts = fits.select(*keys, "cell", "epochs_run", "n_params", "train_time_s")
-    table = facts.join(scores, list(keys)).select(
-        "area_id", "cell", "lookback", "units",
-        F.col("MAE").alias("val_MAE"), F.col("RMSE").alias("val_RMSE"), F.col("MAPE").alias("val_MAPE"),
-        "epochs_run", "n_params", "train_time_s",
-    )
-    return scoring.ranked_by_error(table, "val_RMSE", "area_id", "lookback", "units")
-
-
 def order_search(series: DataFrame, split: Split, orders: Sequence[arma.Order] = ORDERS, period: int = 144,
                  seasonal_diff: int = 1, maxiter: int = 50) -> DataFrame:
     """ARIMA orders ranked by AIC, with their error on the test week; failed candidates come last as NaN."""

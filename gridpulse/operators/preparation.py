@@ -74,6 +74,27 @@ def fit_scaler(series: DataFrame, kind: str, split: Split) -> DataFrame:
     )
 
 
+def fit_scalers(series: DataFrame, split: Split) -> DataFrame:
+    """``fit_scaler`` for every kind at once, from one pass over the training rows."""
+    x, y = F.col("value"), F.log1p("value")
+    fitted = series.where(split.is_train(F.col("ts"))).groupBy("area_id").agg(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), offset.alias("offset"), spread.alias("spread"))
+        for kind, value in (("minmax", x), ("standard", x), ("log-minmax", y)) for offset, spread in [_offset_and_range(kind, value)]
+    ]).alias("fits"))
+    return fitted.select("area_id", F.inline("fits")).select(
+        "area_id", "kind", "offset", F.when(F.col("spread") > 0, F.col("spread")).otherwise(F.lit(1.0)).alias("scale"))
+
+
+def scaled_series(series: DataFrame, kind: str, split: Split) -> DataFrame:
+    """Fit and ``transform`` in one lineage, as windows over the series; an area without training rows is left out."""
+    group = whole_series()
+    train_value = F.when(split.is_train(F.col("ts")), _on_scale(F.col("value"), _checked(kind)))
+    offset, spread = _offset_and_range(kind, train_value, group)
+    rows = series.select("*", offset.alias("offset"), spread.alias("_spread")).where(F.col("offset").isNotNull())
+    return rows.withColumn("scale", F.when(F.col("_spread") > 0, F.col("_spread")).otherwise(F.lit(1.0))).drop("_spread").withColumn(
+        "scaled", scaled(F.col("value"), kind))
+
+
 def scaled(value: Column, kind: str) -> Column:
     """``value`` on the scale given by columns ``offset`` and ``scale``."""
     return (_on_scale(value, _checked(kind)) - F.col("offset")) / F.col("scale")

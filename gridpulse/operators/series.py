@@ -53,26 +53,27 @@ def dense_series(records: DataFrame, study: tuple[str, str] | None = None, sourc
     it stays as a zero series. When several files carry one timestamp, ``duplicates="first"`` keeps
     the rows of the file with the lowest name and ``"sum"`` adds them up.
 
-    Instead of pairing every area with every timestamp, each area's own rows are put in time order
-    and only the gaps between neighbours are generated. Data moves twice: once combined by cell,
-    once by area; the result stays partitioned by ``area_id`` for the window operators that follow.
+    Records are combined by cell first, in one scan, and kept; the time axis and the filling are taken from the cells, so
+    no raw record meets a join. Instead of pairing every area with every timestamp, each area's own cells are put in time
+    order and only the gaps between neighbours are generated. The result stays partitioned by ``area_id`` for the window
+    operators that follow.
     """
     if duplicates not in ("first", "sum"):
         raise ValueError("duplicates must be 'first' or 'sum'")
     owned = bool(source) and duplicates == "first"
-    axis = time_axis(records, study, source if owned else None)
+    # A time of NULL gathers everything outside the window: it only proves that the area exists.
+    ts = F.when(within_dates(F.col("ts"), *study), F.col("ts")) if study else F.col("ts")
+    keys = ["area_id", "ts", *([source] if owned else [])]
+    cells = materialize(records.withColumn("ts", ts).groupBy(*keys).agg(F.sum(no_activity_as_zero(F.col("value"))).alias("value")))
+    axis = time_axis(cells, source=source if owned else None)
     slots = axis.count()
-    lookup = broadcast_if_small(axis, slots)
+    lookup = broadcast_if_small(axis)
 
-    placed = records.join(lookup.select("ts", "slot", *(["owner"] if owned else [])), "ts", "left")
-    value = no_activity_as_zero(F.col("value"))
+    placed = cells.join(lookup, "ts", "left").withColumn("slot", F.coalesce("slot", F.lit(0)))
     if owned:
-        value = F.when(F.col(source) == F.col("owner"), value).otherwise(F.lit(0.0))
-    # Slot 0 gathers everything outside the window: it only proves that the area exists.
-    cells = (
-        placed.select("area_id", F.coalesce("slot", F.lit(0)).alias("slot"), value.alias("value"))
-        .groupBy("area_id", "slot").agg(F.sum("value").alias("value"))
-    )
+        value = F.when((F.col(source) == F.col("owner")) & (F.col("slot") > 0), F.col("value")).otherwise(F.lit(0.0))
+        placed = placed.groupBy("area_id", "slot").agg(F.sum(value).alias("value"))
+    cells = placed.select("area_id", "slot", "value")
     in_order = Window.partitionBy("area_id").orderBy("slot")
     first = F.when(F.lag("slot").over(in_order).isNull(), F.lit(1)).otherwise(F.col("slot"))
     last = F.coalesce(F.lead("slot").over(in_order), F.lit(slots + 1)) - 1

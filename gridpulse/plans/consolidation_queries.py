@@ -192,17 +192,19 @@ def sample_series(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_sample(spark, path, FIXED).select("label", "area_id", "ts", rounded(F.col("value"), 2).alias("value"))
 
 
-@query(f"""WITH t AS ({PART_TOTALS})
-SELECT metric, printf('%.4f', round(value, 4)) AS value FROM (
-  SELECT unnest(['n_areas', 'mean', 'min', 'max']) AS metric,
-         unnest([count(*)::DOUBLE, avg(total_traffic), min(total_traffic), max(total_traffic)]) AS value FROM t)
-""")
+@query(f"""WITH t AS ({PART_TOTALS}), c AS (SELECT avg(total_traffic) AS m FROM t),
+s AS (SELECT count(*)::DOUBLE AS n_areas, avg(total_traffic) AS mean, quantile_cont(total_traffic, 0.5) AS median,
+  stddev_pop(total_traffic) AS std, min(total_traffic) AS min, max(total_traffic) AS max,
+  avg(pow(total_traffic - m, 3)) / pow(avg(pow(total_traffic - m, 2)), 1.5) AS skewness,
+  avg(pow(total_traffic - m, 4)) / pow(avg(pow(total_traffic - m, 2)), 2) - 3 AS kurtosis,
+  quantile_cont(total_traffic, 0.95) / greatest(quantile_cont(total_traffic, 0.5), 1e-9) AS ratio FROM t, c)
+SELECT unnest(['n_areas', 'mean', 'median', 'std', 'min', 'max', 'skewness', 'kurtosis', 'p95 / median ratio']) AS metric,
+  unnest([printf('%.4f', v) FOR v IN [n_areas, mean, median, std, min, max, skewness, kurtosis, ratio]]) AS value FROM s""")
 def report_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of the summary as written to the result table."""
     path = scratch_path(spark, "report")
     tables.write_report(distribution.summary(views.part_totals(spark, sf)), path)
-    return tables.read_report(spark, path, "metric string, value string").where(
-        F.col("metric").isin("n_areas", "mean", "min", "max")
-    )
+    return tables.read_report(spark, path, "metric string, value string")
 
 
 # --- projections and filters -------------------------------------------------------------------

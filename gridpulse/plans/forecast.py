@@ -1,4 +1,4 @@
-"""A full forecasting run: every area by every model, with metric, timing and summary tables."""
+"""A full forecasting run: every area by every model, with metric, timing and summary tables, and its stored results."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.operators import arma, recurrent, scoring
+from gridpulse.operators import arma, scoring, temporal
 from gridpulse.operators.preparation import Split
 from gridpulse.session import materialize
+from gridpulse.sources import tables
+
+SARIMA = "SARIMA"
 
 
 class Run(NamedTuple):
@@ -17,25 +20,49 @@ class Run(NamedTuple):
     timing: DataFrame
     timing_summary: DataFrame
     metric_summary: DataFrame
-    curves: DataFrame
+
+
+def naive_predictions(series: DataFrame, split: Split, lags: dict[str, int]) -> DataFrame:
+    """Test-week predictions of seasonal naive models: the value of so many rows before."""
+    lagged = series
+    for name, period in lags.items():
+        lagged = temporal.with_lag(lagged, period, name)
+    test = lagged.where(split.is_test(F.col("ts"))).withColumnRenamed("value", "y_true")
+    return test.unpivot(["area_id", "ts", "y_true"], list(lags), "model", "y_pred")
+
+
+def metric_summary(metrics: DataFrame) -> DataFrame:
+    """Mean error per model over the areas that were fitted, and how many were not."""
+    fitted = ~F.isnan("MAE")
+    return metrics.groupBy("model").agg(
+        *[F.round(F.avg(F.when(fitted, F.col(c))), 3).alias(c) for c in ("MAE", "RMSE", "MAPE")],
+        F.count_if(~fitted).alias("failed"),
+    )
 
 
 def forecast_run(series: DataFrame, split: Split, order: arma.Order = (2, 0, 2), period: int = 144,
-                 lookback: int = 12, units: int = 64, how: recurrent.Training = recurrent.Training(),
-                 tail_rows: int | None = None, maxiter: int = 50) -> Run:
-    """The two fit tables are materialised, because every result table reads them."""
+                 lags: dict[str, int] | None = None, tail_rows: int | None = None, maxiter: int = 50) -> Run:
+    """SARIMA and seasonal naive models. The fits are materialised, because every result table reads them."""
     sarima = materialize(arma.fit_orders(series, split, (order,), period, 1, tail_rows, maxiter))
-    networks = materialize(recurrent.fit_networks(series, split, recurrent.CELLS, (lookback,), (units,), how))
     columns = ("area_id", "model", "ts", "y_true", "y_pred")
-    predictions = arma.predictions(sarima).select(*columns).unionByName(recurrent.predictions(networks).select(*columns))
-    timing = sarima.select("area_id", F.lit("SARIMA").alias("model"), "train_time_s", "predict_time_s").unionByName(
-        networks.select("area_id", F.col("cell").alias("model"), "train_time_s", "predict_time_s")
-    )
+    predictions = arma.predictions(sarima).select(*columns)
+    if lags:
+        predictions = predictions.unionByName(naive_predictions(series, split, lags).select(*columns))
+    timing = sarima.select("area_id", F.lit(SARIMA).alias("model"), "train_time_s", "predict_time_s")
     metrics = scoring.evaluate(predictions, "area_id", "model")
     measured = timing.groupBy("model").agg(F.format_string("mean of %d areas", F.count("*")).alias("measured_over"))
     return Run(
         predictions, metrics, timing,
         scoring.mean_by(timing, "model", "train_time_s", "predict_time_s").join(measured, "model"),
-        scoring.mean_by(metrics, "model", "MAE", "RMSE", "MAPE"),
-        recurrent.training_curves(networks),
+        metric_summary(metrics),
     )
+
+
+def store_run(run: Run, path: str) -> None:
+    """The result files of a run: predictions side by side, metrics, timing in detail and summed up, metric summary."""
+    models = sorted(r["model"] for r in run.metric_summary.select("model").collect())  # one row per model
+    tables.write_log(scoring.side_by_side(run.predictions, models), f"{path}/predictions")
+    tables.write_log(run.metrics, f"{path}/metrics")
+    tables.write_log(run.timing, f"{path}/timing")
+    tables.write_log(run.timing_summary, f"{path}/timing_summary")
+    tables.write_log(run.metric_summary, f"{path}/metric_summary")

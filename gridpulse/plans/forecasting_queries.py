@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gridpulse.functions.scalars import clip_at_zero, rounded
-from gridpulse.operators import arma, experiments, preparation, recurrent, scoring, temporal
+from gridpulse.operators import arma, experiments, preparation, scoring, temporal
 from gridpulse.plans import views
 from gridpulse.plans.consolidation_queries import supplier_series, target_ids, type_series, user_series
 from gridpulse.plans.exploration_queries import _rounded
-from gridpulse.plans.forecast import forecast_run
-from gridpulse.plans.oracle_views import BEFORE_TEST, IN_TEST, TYPE_DENSE, USER_DENSE
+from gridpulse.plans.forecast import Run, forecast_run, naive_predictions, store_run
+from gridpulse.plans.oracle_views import BEFORE_TEST, BY_TYPE, IN_TEST, TYPE_DENSE, USER_DENSE
 from gridpulse.plans.registry import query
 from gridpulse.session import materialize, scratch_path
 from gridpulse.sources import tables
@@ -57,11 +57,7 @@ _ALL_SCALERS = " UNION ALL ".join(
 
 @query(_ALL_SCALERS)
 def scaler_parameters(spark: SparkSession, sf: str) -> DataFrame:
-    dense = user_series(spark, sf)
-    first, *more = [preparation.fit_scaler(dense, kind, BEFORE) for kind in preparation.SCALERS]
-    for other in more:
-        first = first.unionByName(other)
-    return _rounded(first, "offset", "scale", digits=8)
+    return _rounded(preparation.fit_scalers(user_series(spark, sf), BEFORE), "offset", "scale", digits=8)
 
 
 def _scaled_query(kind: str, split: preparation.Split) -> str:
@@ -71,9 +67,7 @@ round(value, 4) + 0 AS restored FROM dense d JOIN fit f ON f.area_id = d.area_id
 
 
 def _scaled(spark: SparkSession, sf: str, kind: str, split: preparation.Split) -> DataFrame:
-    dense = user_series(spark, sf)
-    out = preparation.transform(dense, preparation.fit_scaler(dense, kind, split), kind)
-    out = preparation.inverse_transform(out, kind)
+    out = preparation.inverse_transform(preparation.scaled_series(user_series(spark, sf), kind, split), kind)
     return out.select("area_id", "ts", rounded(F.col("scaled"), 8).alias("scaled"), rounded(F.col("restored"), 4).alias("restored"))
 
 
@@ -149,11 +143,7 @@ def split_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _naive(spark: SparkSession, sf: str) -> DataFrame:
     """Test-week predictions of two seasonal naive models for every area."""
-    lagged = user_series(spark, sf)
-    for name, period in NAIVE_LAGS.items():
-        lagged = temporal.with_lag(lagged, period, name)
-    test = lagged.where(BEFORE.is_test(F.col("ts"))).withColumnRenamed("value", "y_true")
-    return test.unpivot(["area_id", "ts", "y_true"], list(NAIVE_LAGS), "model", "y_pred")
+    return naive_predictions(user_series(spark, sf), BEFORE, NAIVE_LAGS)
 
 
 _LAGS = ", ".join(f"lag(value, {p}) OVER (PARTITION BY area_id ORDER BY ts) AS {n}" for n, p in NAIVE_LAGS.items())
@@ -213,7 +203,7 @@ def predictions_side_by_side(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{_NAIVE} SELECT area_id, ts, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM pred WHERE model = 'lag24'")
 def aligned_truth(spark: SparkSession, sf: str) -> DataFrame:
     """Truth and prediction from separate tables, joined with the coverage check."""
-    dense = user_series(spark, sf)
+    dense = materialize(user_series(spark, sf))
     in_test = BEFORE.is_test(F.col("ts"))
     truth = dense.where(in_test).select("area_id", "ts", F.col("value").alias("y_true"))
     prediction = temporal.with_lag(dense, views.PERIOD).where(in_test).select("area_id", "ts", F.col("lagged").alias("y_pred"))
@@ -318,46 +308,65 @@ def experiment_log(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.ranked_by_error(tables.read_report(spark, path, table.schema), "AIC")
 
 
-# --- recurrent networks ------------------------------------------------------------------------
+@query(f"""SELECT area_id, CAST(p.v AS INT) AS lookback, CAST(q.v AS INT) AS units FROM (SELECT DISTINCT area_id FROM ({BY_TYPE}))
+CROSS JOIN (SELECT unnest([12, 72, 144, 288]) AS v) p CROSS JOIN (SELECT unnest([32, 64, 128]) AS v) q""")
+def candidate_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """All published candidates for every area in the data."""
+    areas = views.by_type(spark, sf).select("area_id").distinct()
+    return experiments.candidate_grid(areas, lookback=experiments.LOOKBACKS, units=experiments.UNITS)
 
-@query()
-def network_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    """LSTM and GRU at the published configuration, on every area."""
-    return recurrent.predictions(recurrent.fit_networks(type_series(spark, sf), BEFORE))
 
+# --- the full run ------------------------------------------------------------------------------
 
-@query()
-def network_training_curves(spark: SparkSession, sf: str) -> DataFrame:
-    return recurrent.training_curves(recurrent.fit_networks(type_series(spark, sf), BEFORE, cells=("GRU",), units=(32,)))
+def _run(spark: SparkSession, sf: str) -> Run:
+    return forecast_run(materialize(type_series(spark, sf)), BEFORE, (1, 0, 0), views.PERIOD, NAIVE_LAGS)
 
 
-@query()
-def network_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Look-back by width on every area; the look-backs are half a day and a day of hourly steps."""
-    return experiments.network_search(type_series(spark, sf), BEFORE, lookbacks=(12, 24), units=(32, 64))
+_RUN = f"""{_ar1_cte(BEFORE)}, naive AS (SELECT area_id, ts, value AS y_true, {_LAGS} FROM dense),
+pred AS (SELECT p.area_id, 'SARIMA' AS model, ts, value AS y_true, greatest(intercept + slope * previous + lagged, 0) AS y_pred
+  FROM p JOIN fit ON fit.area_id = p.area_id WHERE test
+  {" ".join(f"UNION ALL SELECT area_id, '{n}', ts, y_true, {n} FROM naive WHERE {IN_TEST}" for n in NAIVE_LAGS)}),
+err AS (SELECT *, abs(y_true - y_pred) AS e FROM pred),
+m AS (SELECT area_id, model, avg(e) AS mae, sqrt(avg(e * e)) AS rmse, avg(e / greatest(abs(y_true), 1e-8)) * 100 AS mape,
+  avg(e / greatest((abs(y_true) + abs(y_pred)) / 2, 1e-8)) * 100 AS smape, count(*) AS n, count(*) FILTER (abs(y_true) < 1) AS n_near_zero
+  FROM err GROUP BY area_id, model)"""
+_MODELS = ("SARIMA", *NAIVE_LAGS)
 
 
-@query("SELECT CAST(p.v AS INT) AS lookback, CAST(q.v AS INT) AS units, n FROM (SELECT unnest([12, 72, 144, 288]) AS v) p "
-       "CROSS JOIN (SELECT unnest([32, 64, 128]) AS v) q CROSS JOIN (SELECT count(DISTINCT event_type) AS n FROM events)")
-def candidate_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """All candidates, with the number of areas each of them will be fitted to."""
-    grid = experiments.parameter_grid(spark, lookback=experiments.LOOKBACKS, units=experiments.UNITS)
-    types = views.table(spark, sf, "events").agg(F.count_distinct("event_type").alias("n")).scalar()
-    return grid.withColumn("n", types)
+@query(f"""{_RUN} SELECT area_id, model, round(mae, 4) AS "MAE", round(rmse, 4) AS "RMSE", round(mape, 1) AS "MAPE", round(smape, 4) AS "sMAPE",
+n, n_near_zero FROM m""")
+def forecast_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Every area by three models, scored, on series that are never near zero."""
+    return _rounded(_rounded(_run(spark, sf).metrics, "MAE", "RMSE", "sMAPE", digits=4), "MAPE", digits=1)
 
 
-# --- the full run ------------------------------------------------------------------------------
+@query(f"""{_RUN} SELECT model, round(avg(mae), 2) AS "MAE", round(avg(rmse), 2) AS "RMSE", round(avg(mape), 2) AS "MAPE", 0::BIGINT AS failed,
+CASE WHEN model = 'SARIMA' THEN 'mean of ' || count(*) || ' areas' END AS measured_over FROM m GROUP BY model""")
+def forecast_run_stored_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Metric and timing summaries as stored by the run and read back; the seconds themselves are left out."""
+    path = scratch_path(spark, "run")
+    store_run(_run(spark, sf), path)
+    means = tables.read_report(spark, f"{path}/metric_summary", "model string, MAE double, RMSE double, MAPE double, failed long")
+    timing = tables.read_report(
+        spark, f"{path}/timing_summary", "model string, train_time_s double, predict_time_s double, measured_over string")
+    return _rounded(means, "MAE", "RMSE", "MAPE", digits=2).join(timing.select("model", "measured_over"), "model", "left")
+
+
+@query(f"""{_RUN} SELECT area_id, ts, {", ".join(
+    f'round(max(y_true) FILTER (model = {m!r}), 4) AS "{m}_y_true", round(max(y_pred) FILTER (model = {m!r}), 4) + 0 AS "{m}_y_pred"' for m in _MODELS)}
+FROM pred GROUP BY area_id, ts""")
+def forecast_run_stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """The predictions of all models side by side, as stored by the run and read back."""
+    path = scratch_path(spark, "run")
+    store_run(_run(spark, sf), path)
+    columns = [f"{m}_{c}" for m in sorted(_MODELS) for c in ("y_true", "y_pred")]
+    kinds = ", ".join(f"{c} double" for c in columns)
+    return _rounded(tables.read_report(spark, f"{path}/predictions", f"area_id int, ts timestamp_ntz, {kinds}"), *columns, digits=4)
+
 
 @query()
 def forecast_targets_summary(spark: SparkSession, sf: str) -> DataFrame:
     """The busiest and the two fixed areas: mean error per model over them."""
     targets = materialize(target_ids(spark, sf))
     chosen = user_series(spark, sf).join(F.broadcast(targets.select("area_id").distinct()), "area_id", "left_semi")
-    return forecast_run(materialize(chosen), BEFORE, period=views.PERIOD).metric_summary
-
-
-@query()
-def forecast_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Every area by three models, scored; the timing and summary tables come from the same fits."""
-    run = forecast_run(materialize(type_series(spark, sf)), BEFORE, period=views.PERIOD)
-    return run.metrics
+    return forecast_run(materialize(chosen), BEFORE, period=views.PERIOD, lags=NAIVE_LAGS).metric_summary

@@ -9,9 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A side of this many narrow rows (a few longs and doubles each) stays near
-# 32 MB in memory; anything larger is left to a sort-merge join.
-BROADCAST_MAX_ROWS = 1_000_000
+# A side is broadcast up to this size; anything larger is left to the planner.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 def build_session(app: str = "gridpulse", master: str | None = None, partitions: int | None = None,
@@ -27,6 +26,7 @@ def build_session(app: str = "gridpulse", master: str | None = None, partitions:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a checkpoint goes when nothing reads it any more
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
@@ -36,13 +36,20 @@ def build_session(app: str = "gridpulse", master: str | None = None, partitions:
     return builder.getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process (``local-cluster`` is not: its executors have folders of their own)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a temporary folder is set.
+    Where the cluster names none this is an error; only a local session gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = getattr(spark, "_gridpulse_dir", None) or tempfile.mkdtemp(prefix="gridpulse-")
         spark._gridpulse_dir = configured
     if spark.sparkContext.getCheckpointDir() is None:
@@ -61,11 +68,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only after counting ``df`` (call it on materialised data); else leave the join to the planner."""
-    if rows is None:
-        rows = df.limit(BROADCAST_MAX_ROWS + 1).count()
-    return F.broadcast(df) if rows <= BROADCAST_MAX_ROWS else df
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast only after measuring ``df`` (call it on materialised data); else leave the join to the planner."""
+    wide = [F.coalesce(F.sum(F.octet_length(f.name)), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    size = df.agg(sum(wide, F.count("*") * (16 * len(df.columns)))).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_MAX_BYTES else df
 
 
 def spread(df: DataFrame, *keys: str, per_core: int | None = None) -> DataFrame:

@@ -148,30 +148,51 @@ def test_dense_series_with_hot_area(spark):
     assert sums == {1: 20_000.0, 2: 2.0, 3: 2.0}
 
 
-def test_dense_series_without_broadcast(spark, daily, monkeypatch):
-    """Beyond the row limit the axis is joined by sort-merge; the result is the same."""
+def test_dense_series_joins_cells_never_records(spark, daily, tmp_path, monkeypatch):
+    """Without broadcasts: the joins on time read kept cells, and the records are scanned once."""
     records = daily({1: [1, 2, 3, 4], 5: [7]}).union(daily({2: [9, 9]}, start=datetime(2024, 1, 3)))
     want = cells(series.dense_series(records))
-    monkeypatch.setattr("gridpulse.session.BROADCAST_MAX_ROWS", 1)
+    records.write.parquet(f"{tmp_path}/records")
+    stored, kept = spark.read.parquet(f"{tmp_path}/records"), []
+    keep = series.materialize
+    monkeypatch.setattr("gridpulse.session.BROADCAST_MAX_BYTES", 1)
+    monkeypatch.setattr(series, "materialize", lambda df: kept.append(df) or keep(df))
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     held = spark.conf.get(threshold)
     spark.conf.set(threshold, "-1")
     try:
-        dense = series.dense_series(records)
-        assert "SortMergeJoin" in dense._jdf.queryExecution().executedPlan().toString()
+        dense = series.dense_series(stored)
         assert cells(dense) == want and len(want) == 12
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (*kept, dense)]
+        assert "HashAggregate" in plans[0] and "Join" not in plans[0]
+        assert "FileScan" in plans[0] and not any("FileScan" in plan for plan in plans[1:])  # one kept plan reads the records
+        assert "SortMergeJoin" in plans[-1]
     finally:
         spark.conf.set(threshold, held)
 
 
-def test_dense_series_shuffles_twice_and_windows_reuse_it(spark, daily):
+def test_windows_reuse_the_partitioning_of_a_dense_series(spark, daily):
     from gridpulse.operators import anomaly, temporal
 
     dense = series.dense_series(daily({1: [1, 2, 3], 2: [1, None, 3]}))
-    for frame in (dense, temporal.rolling(dense, 2), anomaly.anomalies(dense)):
-        plan = frame._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 2, plan
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    exchanges = [
+        frame._jdf.queryExecution().executedPlan().toString() for frame in (dense, temporal.rolling(dense, 2), anomaly.anomalies(dense))
+    ]
+    assert len({plan.count("Exchange hashpartitioning(area_id") for plan in exchanges}) == 1
+    assert not any("CartesianProduct" in plan or "NestedLoop" in plan for plan in exchanges)
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from gridpulse import session
+
+    assert session.is_local("local") and session.is_local("local[4]")
+    assert not session.is_local("local-cluster[2,1,512]") and not session.is_local("yarn")
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(fake)
+    assert spark.sparkContext.getConf().get("spark.cleaner.referenceTracking.cleanCheckpoints") == "true"
 
 
 def test_targets(spark):

@@ -6,9 +6,9 @@ import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
-from gridpulse.operators import arma, experiments, preparation, recurrent, scoring
+from gridpulse.operators import arma, experiments, preparation, scoring
 from gridpulse.operators.preparation import Split
-from gridpulse.plans.forecast import forecast_run
+from gridpulse.plans.forecast import forecast_run, metric_summary, store_run
 
 HOUR = timedelta(hours=1)
 
@@ -182,66 +182,41 @@ def test_too_short_series_fails(daily):
         arma.fit_orders(daily({1: range(30)}), SPLIT, [(1, 0, 0)], 2, seasonal_diff=2)
 
 
-# --- recurrent networks ------------------------------------------------------------------------
+# --- the full run ------------------------------------------------------------------------------
 
-def test_parameter_counts():
-    def size(cell, units):
-        return sum(w.size for w in recurrent.new_weights(cell, units, 1, np.random.default_rng(0)))
-
-    assert [size("LSTM", u) for u in (32, 64, 128)] == [4385, 16961, 66689]
-    assert size("GRU", 64) == 12929
-
-
-@pytest.mark.parametrize("cell", ["LSTM", "GRU"])
-@pytest.mark.parametrize("layers", [1, 2])
-def test_gradients_by_finite_differences(cell, layers):
-    rng = np.random.default_rng(1)
-    weights = [w + 0.1 * rng.standard_normal(w.shape) for w in recurrent.new_weights(cell, 3, layers, rng)]
-    x, y, keep = rng.standard_normal((5, 4, 1)), rng.standard_normal(5), rng.random((5, 3))
-    _, grads = recurrent.gradients(cell, weights, x, y, keep)
-
-    def loss():
-        out, _ = recurrent.gradients(cell, weights, x, y, keep)
-        return np.mean((out - y) ** 2)
-
-    for w, g in zip(weights, grads):
-        for at in list(np.ndindex(w.shape))[::5]:
-            held, slope = w[at], []
-            for shift in (1e-6, -1e-6):
-                w[at] = held + shift
-                slope.append(loss())
-            w[at] = held
-            assert math.isclose((slope[0] - slope[1]) / 2e-6, g[at], rel_tol=1e-4, abs_tol=1e-7)
-
-
-def test_networks_learn_and_repeat(daily):
+def test_forecast_run_and_its_files(spark, daily, tmp_path):
     frame = daily({1: seasonal_series(), 2: seasonal_series() + 5}, step=HOUR)
-    how = recurrent.Training(epochs=25, learning_rate=0.01)
-    fits = recurrent.fit_networks(frame, SPLIT, lookbacks=(6,), units=(8,), how=how)
-    first, again = ({(r.area_id, r.cell): r for r in fits.collect()} for _ in range(2))
-    assert len(first) == 4
-    assert all(first[k].scaled_pred == again[k].scaled_pred and first[k].epochs_run <= 25 for k in first)
-    scores = scoring.evaluate(recurrent.predictions(fits), "area_id", "model").collect()
-    assert all(r.n == 48 and r.MAE < 8 for r in scores)
-    curves = recurrent.training_curves(fits)
-    assert curves.count() == sum(r.epochs_run for r in first.values())
-    with pytest.raises(ValueError):
-        recurrent.fit_networks(frame, SPLIT, cells=("RNN",))
-    with pytest.raises(ValueError):
-        recurrent.fit_networks(frame, SPLIT, lookbacks=(0,))
-
-
-def test_network_search_is_ranked(daily):
-    frame = daily({1: seasonal_series()}, step=HOUR)
-    table = experiments.network_search(frame, SPLIT, lookbacks=(4, 6), units=(4, 8), how=recurrent.Training(epochs=2))
-    rows = table.collect()
-    assert len(rows) == 4 and [r.val_RMSE for r in rows] == sorted(r.val_RMSE for r in rows)
-
-
-def test_forecast_run(daily):
-    run = forecast_run(daily({1: seasonal_series()}, step=HOUR), SPLIT, (1, 0, 0), 24, 6, 4, recurrent.Training(epochs=2))
-    assert {r.model for r in run.metrics.collect()} == {"SARIMA", "LSTM", "GRU"}
-    assert run.predictions.count() == 3 * 48 and run.timing.count() == 3
-    assert run.timing_summary.columns == ["model", "train_time_s", "predict_time_s", "measured_over"]
-    assert {r.measured_over for r in run.timing_summary.collect()} == {"mean of 1 areas"}
-    assert run.metric_summary.count() == 3 and run.curves.count() <= 4
+    run = forecast_run(frame, SPLIT, (1, 0, 0), 24, {"lag24": 24})
+    assert {r.model for r in run.metrics.collect()} == {"SARIMA", "lag24"}
+    assert run.predictions.count() == 2 * 2 * 48 and run.timing.count() == 2
+    assert {r.measured_over for r in run.timing_summary.collect()} == {"mean of 2 areas"}
+    assert {r.failed for r in run.metric_summary.collect()} == {0}
+    store_run(run, str(tmp_path))
+    stored = spark.read.option("header", "true").csv(f"{tmp_path}/predictions")
+    assert stored.count() == 2 * 48 and "lag24_y_pred" in stored.columns
+    assert spark.read.option("header", "true").csv(f"{tmp_path}/timing_summary").count() == 1
+
+
+def test_summary_leaves_out_failed_fits(spark):
+    metrics = spark.createDataFrame(
+        [(1, "SARIMA", 2.0, 3.0, 4.0), (2, "SARIMA", float("nan"), float("nan"), float("nan"))],
+        "area_id int, model string, MAE double, RMSE double, MAPE double")
+    row = metric_summary(metrics).first()
+    assert (row.MAE, row.RMSE, row.MAPE, row.failed) == (2.0, 3.0, 4.0, 1)
+
+
+def test_candidates_for_every_area(spark):
+    areas = spark.createDataFrame([(1,), (2,)], "area_id int")
+    assert experiments.candidate_grid(areas, lookback=(1, 2), units=(3,)).count() == 4
+
+
+def test_scalers_in_one_pass_agree_with_single_ones(daily):
+    frame = daily({1: seasonal_series(), 2: [4.0] * len(seasonal_series())}, step=HOUR)
+    at_once = {(r.area_id, r.kind): r for r in preparation.fit_scalers(frame, SPLIT).collect()}
+    for kind in preparation.SCALERS:
+        for r in preparation.fit_scaler(frame, kind, SPLIT).collect():
+            assert at_once[r.area_id, kind] == r
+        joined = preparation.transform(frame, preparation.fit_scaler(frame, kind, SPLIT), kind)
+        windowed = preparation.scaled_series(frame, kind, SPLIT)
+        pick = lambda df: sorted((r.area_id, r.ts, round(r.scaled, 9)) for r in df.collect())
+        assert pick(joined) == pick(windowed)
