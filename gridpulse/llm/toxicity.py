@@ -203,5 +203,5 @@ def score(docs: DataFrame, model: tuple[bytes, bytes, str]) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``score`` of all rows of ``docs`` by a model fitted on their ``labels``, and whether a row was ``held_out`` from fitting."""
-    found = fit(docs, labels).first()
+    found = fit(docs, labels).first() or fitted([], [])
     return score(docs, tuple(bytes(v) if isinstance(v, bytearray) else v for v in found)).withColumn("held_out", held_out(F.col("doc_id")))
