@@ -147,10 +147,12 @@ def _with_history(series: DataFrame, split: Split, period: int, times: int, tail
     """Labelled rows with ``lagged`` and the seasonally differenced ``diff``, in training-then-test order."""
     if times not in (0, 1) or period < 1:
         raise ValueError("only 0 or 1 seasonal differences of a positive period are supported")
+    if tail_rows is not None and tail_rows < 1:
+        raise ValueError("tail_rows must be positive")
     rows = split_rows(series.where(F.col("value").isNotNull()), split)
     area = Window.partitionBy("area_id")
     order = area.orderBy(*split.order())
-    if tail_rows:
+    if tail_rows is not None:
         back = F.row_number().over(Window.partitionBy("area_id", "is_test").orderBy(F.desc("ts")))
         rows = rows.withColumn("_back", back).where(F.col("is_test") | (F.col("_back") <= tail_rows)).drop("_back")
     lagged = F.lag("value", period).over(order) if times else F.lit(0.0)
@@ -164,7 +166,7 @@ def _with_history(series: DataFrame, split: Split, period: int, times: int, tail
 
 def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0, 2),), period: int = 144,
                seasonal_diff: int = 1, tail_rows: int | None = None, maxiter: int = 50) -> DataFrame:
-    """Fit every order to every area: one group each, all in one job. A failed fit has NULL criteria.
+    """Fit every order to every area: one group per area, whose series is sent once. A failed fit has NULL criteria.
 
     Seasonal AR and MA terms are not estimated. Fitting happens once; the test week is then
     predicted one step ahead with the fitted parameters and the actual past.
@@ -173,13 +175,13 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
         if d < 0:
             raise ValueError("d must not be negative")
     ship_package(series.sparkSession)
-    candidates = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(o, ("p", "d", "q"))]) for o in orders])
-    rows = _with_history(series, split, period, seasonal_diff, tail_rows)
-    rows = rows.select("area_id", "ts", "place", "value", "lagged", "diff", "is_test", F.inline(candidates))
+    rows = _with_history(series, split, period, seasonal_diff, tail_rows).select("area_id", "ts", "place", "value", "lagged", "diff", "is_test")
 
     def of_area(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place")
-        p, d, q = (int(rows[c].iloc[0]) for c in ("p", "d", "q"))
+        return pd.DataFrame([of_order(rows, *order) for order in orders])
+
+    def of_order(rows: pd.DataFrame, p: int, d: int, q: int) -> dict:
         y, test = rows["diff"].to_numpy(), rows["is_test"].to_numpy(dtype=bool)
         ahead = np.full(test.sum(), np.nan)
         fit, begin = None, time.perf_counter()
@@ -191,7 +193,7 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
             predicted = time.perf_counter()
         except (ValueError, np.linalg.LinAlgError):
             trained = predicted = time.perf_counter()
-        return pd.DataFrame([{
+        return {
             "area_id": rows["area_id"].iloc[0], "p": p, "d": d, "q": q,
             "aic": fit.aic if fit else np.nan, "bic": fit.bic if fit else np.nan,
             "n_fit": fit.rows if fit else 0, "converged": bool(fit and fit.converged),
@@ -199,10 +201,10 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
             "predict_time_s": predicted - trained if fit else np.nan,
             "ts": list(rows["ts"][test]), "y_true": rows["value"].to_numpy()[test],
             "lagged": rows["lagged"].to_numpy()[test], "step_ahead": ahead,
-        }])
+        }
 
-    keys = ("area_id", "p", "d", "q")
-    return spread(rows, *keys, per_core=4).groupBy(*keys).applyInPandas(of_area, FITS)
+    orders = [tuple(order) for order in orders]
+    return spread(rows, "area_id", per_core=4).groupBy("area_id").applyInPandas(of_area, FITS)
 
 
 def predictions(fits: DataFrame, seasonal_diff: int = 1, model: str = "SARIMA") -> DataFrame:

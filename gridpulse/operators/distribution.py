@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridpulse.functions.ranking import percentile_of_ranked, rank_rows
 from gridpulse.functions.scalars import is_finite
+from gridpulse.session import materialize
 
 
 def summary(area_totals: DataFrame) -> DataFrame:
@@ -105,17 +106,18 @@ def density(area_totals: DataFrame, points: int = 200, log_scale: bool = False,
     )
 
 
-def grid_side(area_totals: DataFrame) -> int:
-    """Side of the smallest square grid that holds the largest id."""
-    side = area_totals.agg(F.ceil(F.sqrt(F.max("area_id").cast("double"))).cast("int")).first()[0]
-    if side is None:
-        raise ValueError("there are no areas")
-    return side
+def grid_side(area_totals: DataFrame) -> DataFrame:
+    """``side`` of the smallest square grid that holds the largest id, one row; null without areas."""
+    return area_totals.agg(F.ceil(F.sqrt(F.max("area_id").cast("double"))).cast("int").alias("side"))
 
 
 def spatial_grid(area_totals: DataFrame, side: int | None = None) -> DataFrame:
     """Row-major square grid from id 1: absent cells hold 0, other ids are dropped."""
-    side = side or grid_side(area_totals)
+    if side is None:
+        area_totals = materialize(area_totals)
+        side = grid_side(area_totals).first()["side"]
+    if side is None or side < 1:
+        raise ValueError("a grid has a positive side")
     cells = area_totals.sparkSession.range(1, side * side + 1).select(F.col("id").cast("int").alias("area_id"))
     total = F.coalesce("total_traffic", F.lit(0.0))
     return cells.join(area_totals, "area_id", "left").select(

@@ -138,6 +138,8 @@ def labelled(series: DataFrame, split: Split, lookback: Column | int, val_fracti
     be a column, so that several look-backs go through one job.
     """
     _checked(kind)
+    if not 0 <= val_fraction < 1:
+        raise ValueError("val_fraction must be at least 0 and below 1")
     lookback = F.lit(lookback) if isinstance(lookback, int) else lookback
     group = whole_series(*keys)
     in_time = Window.partitionBy(*keys).orderBy("ts")

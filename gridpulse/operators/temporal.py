@@ -97,5 +97,7 @@ def undo_seasonal_difference(prediction: Column, lagged: Column, times: int = 1)
 
 def recent(series: DataFrame, rows: int) -> DataFrame:
     """The last ``rows`` rows of every area."""
+    if rows < 1:
+        raise ValueError("rows must be positive")
     place = F.row_number().over(Window.partitionBy("area_id").orderBy(F.desc("ts")))
     return series.withColumn("_place", place).where(F.col("_place") <= rows).drop("_place")

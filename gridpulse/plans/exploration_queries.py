@@ -103,8 +103,7 @@ def spatial_heatmap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT CAST(ceil(sqrt(max(area_id))) AS INT) AS side FROM ({PART_TOTALS})")
 def grid_side(spark: SparkSession, sf: str) -> DataFrame:
-    side = distribution.grid_side(views.part_totals(spark, sf))
-    return spark.range(1).select(F.lit(side).alias("side"))
+    return distribution.grid_side(views.part_totals(spark, sf))
 
 
 # --- rolling and seasonal windows --------------------------------------------------------------
@@ -262,7 +261,19 @@ def partial_autocorrelation_low(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(correlation.pacf(supplier_series(spark, sf), 3), "pacf", "band")
 
 
-@query()
+# Durbin-Levinson: the coefficients of each order from those of the order before.
+_PACF_SQL = f"""{_acf_sql(TYPE_DENSE, 2 * views.PERIOD).replace("WITH ", "WITH RECURSIVE ", 1)},
+w AS (SELECT area_id, any_value(n) AS n, list(acf ORDER BY lag) AS a FROM r GROUP BY area_id),
+lev(area_id, n, a, k, phi, t) AS (
+  SELECT area_id, n, a, 1, [a[2]], a[2] FROM w UNION ALL
+  SELECT area_id, n, a, k + 1, list_append([phi[j] - s * phi[k + 1 - j] for j in range(1, k + 1)], s), s FROM (
+    SELECT *, (a[k + 2] - list_sum([phi[j] * a[k + 2 - j] for j in range(1, k + 1)]))
+      / (1 - list_sum([phi[j] * a[j + 1] for j in range(1, k + 1)])) AS s FROM lev WHERE k < {2 * views.PERIOD}))
+SELECT area_id, CAST(k AS INT) AS lag, round(t, 6) + 0 AS pacf, round(1.959963984540054 / sqrt(n), 6) AS band FROM lev
+UNION ALL SELECT area_id, 0, 1, 0 FROM w"""
+
+
+@query(_PACF_SQL)
 def partial_autocorrelation(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(correlation.pacf(type_series(spark, sf), 2 * views.PERIOD), "pacf", "band")
 

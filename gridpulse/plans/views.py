@@ -24,7 +24,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def type_id(event_type: str = "event_type"):
-    return F.array_position(F.array(*[F.lit(t) for t in EVENT_TYPES]), F.col(event_type)).cast("int")
+    """Area id of an event type; the job fails for a type that is not listed."""
+    place = F.array_position(F.array(*[F.lit(t) for t in EVENT_TYPES]), F.col(event_type)).cast("int")
+    return F.when(place > 0, place).otherwise(F.raise_error(F.concat(F.lit("unknown event type "), F.coalesce(F.col(event_type), F.lit("null")))).cast("int"))
 
 
 def by_type(spark: SparkSession, folder: str) -> DataFrame:

@@ -61,6 +61,8 @@ def read_sample(spark: SparkSession, path: str, fixed: Sequence[int]) -> DataFra
     )
     # One total per column of a file that holds a handful of columns.
     top = totals(long).orderBy(F.desc("total_traffic"), "area_id").limit(1).first()
+    if top is None:
+        raise ValueError(f"the sample at {path} has no rows")
     have = {f"area_{a}" for a in fixed} & set(areas)
     labels = [("highest", top.area_id), *[
         (f"fixed_{i}", a) for i, a in enumerate([a for a in fixed if f"area_{a}" in have], start=1)

@@ -54,7 +54,7 @@ def test_density_matches_direct_sum(spark):
 
 def test_grid(spark):
     for largest, side in ((1, 1), (90, 10), (100, 10), (101, 11)):
-        assert distribution.grid_side(spark.createDataFrame([(largest, 1.0)], "area_id int, total_traffic double")) == side
+        assert distribution.grid_side(spark.createDataFrame([(largest, 1.0)], "area_id int, total_traffic double")).first()["side"] == side
     frame = spark.createDataFrame([(0, 5.0), (2, 7.0), (10, 9.0)], "area_id int, total_traffic double")
     grid = distribution.spatial_grid(frame, 3).orderBy("area_id").collect()
     assert [r.total for r in grid] == [0, 7, 0, 0, 0, 0, 0, 0, 0]

@@ -220,3 +220,12 @@ def test_scalers_in_one_pass_agree_with_single_ones(daily):
         windowed = preparation.scaled_series(frame, kind, SPLIT)
         pick = lambda df: sorted((r.area_id, r.ts, round(r.scaled, 9)) for r in df.collect())
         assert pick(joined) == pick(windowed)
+
+
+def test_zero_rows_are_an_error(daily):
+    from gridpulse.operators import temporal
+
+    with pytest.raises(ValueError):
+        arma.fit_orders(daily({1: seasonal_series()}, step=HOUR), SPLIT, [(1, 0, 0)], 24, tail_rows=0)
+    with pytest.raises(ValueError):
+        temporal.recent(daily({1: [1.0]}), 0)
