@@ -24,13 +24,13 @@ SAMPLE_TOXIC = 3000
 SAMPLE_ORDINARY = 6000
 CALIBRATION_SHARE = 3
 WINDOW_WORDS = 16
-LEVEL = 8
-ORDINARY_BYTES, TOXIC_BYTES = 131_072, 2_048
+LEVEL = 12
+ORDINARY_BYTES, TOXIC_BYTES = 131_072, 1_536
 SEGMENT, MATCH = 32, 6
 # A run of characters sets toxic texts apart if it is in three of them or more, and in so many more than chance would have (standard
 # deviations).
 GRAM = 5
-MIN_TEXTS, MIN_DEVIATIONS = 3, 5.0
+MIN_TEXTS, MIN_DEVIATIONS = 3, 10.0
 # A window stands out if it saves more than this share of the ordinary windows do.
 WINDOW_QUANTILE = 0.999
 RIDGE = 0.01
