@@ -16,9 +16,10 @@ from gridpulse.session import ship_package
 
 SHINGLE_WORDS = 3
 PERCENT = 90
-# At most so many shingles, those met most often in prefixes, go to the end of the order; each was met more than so often.
-FREQUENT_SHINGLES = 65_536
-FREQUENT_FROM = 16
+# At most so many shingles, those met most often among the first ones of the sets, go to the end of the order (8 MB); each was met more
+# than so often.
+FREQUENT_SHINGLES = 1_000_000
+FREQUENT_FROM = 1
 # Texts per side of a verification tile.
 TILE = 512
 _COLUMNS_AT_ONCE = 4096
@@ -42,16 +43,31 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def ordered_prefix(found: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first members of a set (sorted hashes) in the global order: hashes rising, then the ``frequent`` ones as listed."""
-    size = prefix_size(len(found), percent)
-    if not len(frequent):
-        return found[:size]
-    order = np.argsort(frequent)
-    at = np.minimum(np.searchsorted(frequent[order], found), len(frequent) - 1)
-    often = frequent[order][at] == found
-    rare = found[~often]
-    return rare[:size] if len(rare) >= size else np.concatenate([rare, frequent[np.sort(order[at[often]])]])[:size]
+def looked_at(n: int, percent: int = PERCENT) -> int:
+    """How many members of a set, by hash, are kept and counted: enough for a prefix when half of them go to the end of the order."""
+    return min(n, 2 * prefix_size(n, percent) + 8)
+
+
+class Order:
+    """The global order of members: hashes rising, then the ``frequent`` ones as listed."""
+
+    def __init__(self, frequent: np.ndarray):
+        self.frequent, self.places = frequent, np.argsort(frequent)
+        self.sorted = frequent[self.places]
+
+    def _found(self, members: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.sorted, members), len(self.sorted) - 1)
+
+    def often(self, members: np.ndarray) -> np.ndarray:
+        return self.sorted[self._found(members)] == members if len(self.sorted) else np.zeros(len(members), bool)
+
+    def prefix(self, members: np.ndarray, size: int) -> np.ndarray:
+        """The first ``size`` of sorted ``members``."""
+        often = self.often(members)
+        rare = members[~often]
+        if len(rare) >= size:
+            return rare[:size]
+        return np.concatenate([rare, self.frequent[np.sort(self.places[self._found(members[often])])]])[:size]
 
 
 def set_keys(found: np.ndarray) -> tuple[int, int]:
@@ -78,10 +94,10 @@ def _text_stage(docs: DataFrame, schema: str, row) -> DataFrame:
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``SIGNATURES`` of every row; the prefix is in the order of the hashes."""
+    """``SIGNATURES`` of every row; ``prefix`` has the first members by hash."""
 
     def row(doc_id, found):
-        return (doc_id, len(found), *set_keys(found), found[:prefix_size(len(found), percent)].tobytes())
+        return (doc_id, len(found), *set_keys(found), found[:looked_at(len(found), percent)].tobytes())
 
     return _text_stage(docs, SIGNATURES, row)
 
@@ -103,14 +119,14 @@ def unpacked(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def frequent_shingles(classes: DataFrame) -> np.ndarray:
-    """The shingles most often met in prefixes, from the rarest on: a list bounded by ``FREQUENT_SHINGLES``.
+    """The shingles most often met among the first of all sets, from the rarest on: a list bounded by ``FREQUENT_SHINGLES``.
 
-    It only moves these to the end of the order, so that passages shared by many texts make no candidates. Which ones are on it does not
-    change the links.
+    It only moves these to the end of the order, so that passages shared by texts make few candidates. Which ones are on it does not change
+    the links.
     """
     counts = unpacked(classes).groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > FREQUENT_FROM)
-    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_SHINGLES).collect()
-    return np.asarray([r["token"] for r in reversed(top)], np.int64).view(np.uint64)
+    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_SHINGLES).select("token").toArrow()
+    return top.column("token").to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 def size_band(n: str = "n_shingles", percent: int = PERCENT):
@@ -159,7 +175,7 @@ def tiles(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataF
             transform(filter(sequence(0, coalesce(below, 0)), j -> j < coalesce(below, 0)), j -> struct(
                 concat_ws('/', block, band - 1, j, band, own) AS tile, 2 AS side))
         ) END""")
-    return dealt.select("k1", "copies", F.explode(where).alias("t")).select("k1", "copies", "t.tile", "t.side")
+    return dealt.select("k1", "doc_id", "copies", F.explode(where).alias("t")).select("k1", "doc_id", "copies", "t.tile", "t.side")
 
 
 def tile_links(keys: np.ndarray, copies: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT):
@@ -193,22 +209,25 @@ def tile_links(keys: np.ndarray, copies: np.ndarray, sides: np.ndarray, sets: li
 
 
 def verified(dealt: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``LINKED`` from ``tile, side, k1, copies, found``: every tile is gathered by itself, of bounded size."""
+    """``LINKED`` from ``tile, side, k1, copies, text``: every tile is gathered by itself, of bounded size. Texts of another key do not count."""
     ship_package(dealt.sparkSession)
     kinds = pa.schema([("k1", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("tile", "side", "k1", "copies", "found")]
+            columns = [batch.column(c).to_pylist() for c in ("tile", "side", "k1", "copies", "text")]
             yield from zip(*columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for _, own in groupby(rows(batches), key=lambda r: r[0]):
-            _, sides, keys, copies, found = zip(*own)
-            if len(keys) > 1:
-                out += tile_links(np.asarray(keys, np.int64), np.asarray(copies, np.int64), np.asarray(sides),
-                                  [np.frombuffer(f, np.uint64) for f in found], percent)
+            found = {}
+            for _, side, key, copies, text in own:
+                if set_keys(own_set := shingles(text))[0] == key:
+                    found[key] = (side, copies, own_set)
+            if len(found) > 1:
+                sides, copies, sets = zip(*found.values())
+                out += tile_links(np.asarray([*found], np.int64), np.asarray(copies, np.int64), np.asarray(sides), [*sets], percent)
             if len(out) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=kinds)
                 out = []
@@ -217,7 +236,7 @@ def verified(dealt: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(parts, "tile").sortWithinPartitions("tile").select(
-        "tile", "side", "k1", "copies", "found").mapInArrow(run, LINKED)
+        "tile", "side", "k1", "copies", "text").mapInArrow(run, LINKED)
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -230,8 +249,8 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
        connected groups, expanded to their classes, are blocks. Two classes of different blocks cannot link.
     3. Blocks are verified in tiles of bounded size from the full sets. Only a spanning forest and counts leave a tile.
 
-    Null and empty texts have no shingles, link with nothing and are their own component. Rows of one id count as different rows. Rows
-    without id link like others but name no component (null if there is no other id). Columns beside ``doc_id`` and
+    Null and empty texts have no shingles, link with nothing and are their own component. Rows of one id count as different rows. A
+    set that only rows without id have is not compared with others (these rows are copies of each other). Columns beside ``doc_id`` and
     ``text`` play no part.
     """
     signed_docs = stored(signatures(docs, percent), "signatures")
@@ -239,10 +258,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = stored(filled.groupBy("k1", "n_shingles").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "prefix")).alias("first"), F.count("*").alias("copies")
     ).select("k1", "n_shingles", "copies", "first.doc_id", "first.prefix"), "classes")
-    frequent = frequent_shingles(classes)
-    prefixed = classes
-    if len(frequent):
-        prefixed = reordered(docs, classes, frequent, percent)
+    prefixed = reordered(docs, classes, frequent_shingles(classes), percent)
     groups = stored(prefixed.groupBy("prefix", "n_shingles").agg(F.min("k1").alias("grp")), "groups")
     members = prefixed.join(groups, ["prefix", "n_shingles"]).select("grp", "k1", "doc_id", "n_shingles", "copies")
     members = stored(members, "members")
@@ -251,14 +267,9 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("component").alias("block")), "blocks")
     inside = stored(members.join(blocks, F.col("grp") == F.col("node")).select("block", "k1", "doc_id", "n_shingles", "copies"), "inside")
     dealt = stored(tiles(inside, percent), "tiles")
-    wanted = dealt.select("k1").distinct().join(inside.select("k1", "doc_id"), "k1").select("doc_id")
-
-    def full(doc_id, found):
-        return (set_keys(found)[0], found.tobytes()) if len(found) else None
-
-    texts = docs.select("doc_id", "text").join(broadcast_ids(stored(wanted.distinct(), "wanted")), "doc_id", "left_semi")
-    sets = _text_stage(texts, "k1 long, found binary", full).dropDuplicates(["k1"])
-    linked = stored(verified(dealt.join(sets, "k1"), percent), "links")
+    wanted = stored(dealt.select("doc_id").distinct(), "wanted")
+    texts = docs.select("doc_id", "text").join(broadcast_ids(wanted), "doc_id", "left_semi")
+    linked = stored(verified(dealt.join(texts, "doc_id").drop("doc_id"), percent), "links")
     found = stored(components(linked.select(F.col("k1").alias("a"), F.col("root").alias("b"))), "components")
     degree = linked.groupBy("k1").agg(F.sum("links").alias("links"))
     with_label = classes.select("k1", "n_shingles", "doc_id", "copies").join(
@@ -274,17 +285,36 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def reordered(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """``classes`` with prefixes in the order that has the ``frequent`` shingles last; only sets that change are read again."""
-    marked = np.sort(frequent)
+    """``classes`` with their prefixes in the order that has the ``frequent`` shingles last.
 
-    def row(doc_id, found):
-        head = found[:prefix_size(len(found), percent)]
-        at = np.minimum(np.searchsorted(marked, head), len(marked) - 1)
-        if not len(found) or not (marked[at] == head).any():
-            return None
-        return set_keys(found)[0], doc_id, ordered_prefix(found, frequent, percent).tobytes()
-
-    changed = _text_stage(docs, "k1 long, doc_id long, prefix binary", row).withColumnRenamed("prefix", "moved").dropDuplicates(["k1", "doc_id"])
-    kept = changed.join(classes.select("k1", "doc_id"), [changed["k1"] == classes["k1"], changed["doc_id"].eqNullSafe(classes["doc_id"])], "left_semi")
-    return stored(classes.join(kept.select("k1", "moved"), "k1", "left").select(
-        "k1", "n_shingles", "copies", "doc_id", F.coalesce("moved", "prefix").alias("prefix")), "prefixes")
+    The stored members are enough where they hold a prefix of rare ones, or are the whole set; the other texts are read again.
+    """
+    ship_package(docs.sparkSession)
+    names = ["k1", "n_shingles", "copies", "doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = Order(frequent)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part, out = batch.slice(at, 2048), []
+                for n, data in zip(part.column("n_shingles").to_pylist(), part.column("prefix").to_pylist()):
+                    members, size = np.frombuffer(data, np.uint64), prefix_size(n, percent)
+                    found = order.prefix(members, size) if len(members) == n else members[~order.often(members)][:size]
+                    out.append(found.tobytes() if len(found) == size else None)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(out, pa.binary())], names=[*names, "prefix"])
+
+    known = stored(classes.select(*names, "prefix").mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", prefix binary"), "prefixes")
+    short = known.filter("prefix IS NULL").drop("prefix")
+    texts = docs.select("doc_id", "text").join(broadcast_ids(stored(short.select("doc_id").distinct(), "short")), "doc_id", "left_semi")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = Order(frequent)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                sets = [shingles(t) for t in batch.slice(at, 512).column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([set_keys(s)[0] for s in sets], pa.int64()),
+                    pa.array([order.prefix(s, prefix_size(len(s), percent)).tobytes() for s in sets], pa.binary())], names=["k1", "prefix"])
+
+    again = texts.select("text").mapInArrow(read, "k1 long, prefix binary").dropDuplicates(["k1"])
+    return stored(known.filter("prefix IS NOT NULL").unionByName(short.join(again, "k1")), "reordered")
