@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A side is broadcast up to this size; anything larger is left to the planner.
 BROADCAST_MAX_BYTES = 32 << 20
+# What a Python worker gets at once, so that long texts do not fill its memory.
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
 
 
 def build_session(app: str = "gridpulse", master: str | None = None, partitions: int | None = None,
@@ -90,7 +92,12 @@ def spread(df: DataFrame, *keys: str, per_core: int | None = None) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make the package importable in Python workers, once per session (same effect as ``--py-files``)."""
+    """Make the package importable in Python workers, once per session (same effect as ``--py-files``).
+
+    Also bounds the bytes of a batch for them, unless the cluster says how many.
+    """
+    if not spark.sparkContext.getConf().contains(ARROW_BYTES[0]):
+        spark.conf.set(*ARROW_BYTES)
     if getattr(spark.sparkContext, "_gridpulse_shipped", False):
         return
     root = Path(__file__).resolve().parent
