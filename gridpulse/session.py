@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -60,8 +61,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; no two calls get the same one."""
-    return f"{shared_dir(spark).rstrip('/')}/gridpulse/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; no two calls get the same one. All of an application's go when it ends."""
+    root = f"{shared_dir(spark).rstrip('/')}/gridpulse/{spark.sparkContext.applicationId}"
+    if getattr(spark.sparkContext, "_gridpulse_scratch", None) != root:
+        spark.sparkContext._gridpulse_scratch = root
+        atexit.register(_remove, spark, root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a scratch folder, through the file system that Spark uses, if the session still runs."""
+    if spark.sparkContext._jsc is not None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
