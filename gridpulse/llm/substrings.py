@@ -178,12 +178,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
     if not 0 < anchor < window:
         raise ValueError("an anchor is shorter than a window")
     places = stored(anchors(docs, window, anchor), "anchors")
-    often = places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # kept by themselves, so that the joins below can split the places of a hot anchor or window over tasks
+    often = stored(places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors-often")
     candidates = places.join(often, "anchor", "left_semi").groupBy("key").agg(F.collect_set("place").alias("places"))
     candidates = stored(candidates, "candidates")
     texts = keyed(docs, window).groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     windows = stored(candidate_windows(texts.join(candidates, "key"), window, anchor), "windows")
-    repeated = windows.filter("hash IS NOT NULL").groupBy("hash").agg(F.sum("weight").alias("n")).filter("n > 1").select("hash")
+    repeated = stored(
+        windows.filter("hash IS NOT NULL").groupBy("hash").agg(F.sum("weight").alias("n")).filter("n > 1").select("hash"), "windows-often")
     starts = windows.filter("start >= 0").join(repeated, "hash", "left_semi").select("key", "start").unionByName(
         windows.filter(f"start = {WHOLE}").select("key", "start"))
     repeats = stored(starts.groupBy("key").agg(F.collect_list("start").alias("starts")), "repeats")

@@ -23,6 +23,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from gridpulse.llm.common import stored
 from gridpulse.session import ship_package
 
 FORMAT = "warc"
@@ -295,7 +296,8 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit(""))
     known = pages.select("page_id", "url", F.encode(payload, "UTF-8").alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
                          F.sha1(payload).alias("hex"))
-    first = known.filter(F.col("payload_bytes") >= min_bytes).groupBy("hex").agg(F.max("page_id").alias("top"))
+    # kept by itself, so that the join can split a payload with very many copies over tasks
+    first = stored(known.filter(F.col("payload_bytes") >= min_bytes).groupBy("hex").agg(F.max("page_id").alias("top")), "payloads")
     again = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     return known.join(first, "hex", "left").select(
         "page_id", "url", F.when(~again, F.col("payload")).alias("payload"), "payload_bytes", base32(F.col("hex")).alias("payload_digest"),
