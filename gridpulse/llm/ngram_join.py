@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.llm.common import broadcast_ids, mixed, rolling_hashes, signed, stored, word_hashes
+from gridpulse.llm.common import broadcast_ids, rolling_hashes, signed, stored, word_hashes
 from gridpulse.llm.components import components
 from gridpulse.session import ship_package
 
@@ -121,12 +121,24 @@ def unpacked(df: DataFrame, *keep: str) -> DataFrame:
 def frequent_shingles(classes: DataFrame) -> np.ndarray:
     """The shingles most often met among the first of all sets, from the rarest on: a list bounded by ``FREQUENT_SHINGLES``.
 
-    It only moves these to the end of the order, so that passages shared by texts make few candidates. Which ones are on it does not change
-    the links.
+    Whole levels of counts (by half powers of two) are taken from the top on, so that no task sorts them all. It only moves these to the
+    end of the order, so that passages shared by texts make few candidates. Which ones are on it does not change the links.
     """
-    counts = unpacked(classes).groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > FREQUENT_FROM)
-    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_SHINGLES).select("token").toArrow()
-    return top.column("token").to_numpy()[::-1].astype(np.int64).view(np.uint64)
+    level = F.floor(F.log2(F.col("n").cast("double")) * 2 + F.lit(1e-9)).cast("int")
+    counts = stored(unpacked(classes).groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > FREQUENT_FROM).withColumn(
+        "level", level), "frequent")
+    sizes = sorted(((r["level"], r["count"]) for r in counts.groupBy("level").count().collect()), reverse=True)  # at most 128 levels
+    total, lowest = 0, None
+    for at, size in sizes:
+        total += size
+        if total > FREQUENT_SHINGLES:
+            break
+        lowest = at
+    if lowest is None:
+        return np.empty(0, np.uint64)
+    top = counts.filter(F.col("level") >= lowest).select("token", "n").toArrow()
+    tokens, n = (top.column(c).to_numpy() for c in ("token", "n"))
+    return tokens[np.lexsort((tokens, n))].astype(np.int64).view(np.uint64)
 
 
 def size_band(n: str = "n_shingles", percent: int = PERCENT):
@@ -181,11 +193,15 @@ def tiles(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataF
 def tile_links(keys: np.ndarray, copies: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT):
     """``(key, root, links)`` of the texts in one tile that link: a spanning forest, and linked texts counted with their copies."""
     m, lengths = len(sets), np.fromiter(map(len, sets), np.int64, len(sets))
-    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner, shared = np.repeat(np.arange(m), lengths), times[token] > 1
-    owner, token = owner[shared], (np.cumsum(times > 1) - 1)[token[shared]]
-    order = np.argsort(token, kind="stable")
-    owner, token = owner[order], token[order]
+    members = np.concatenate(sets)
+    order = np.argsort(members)
+    members = members[order]
+    starts = np.flatnonzero(np.concatenate(([True], members[1:] != members[:-1])))
+    times = np.diff(np.append(starts, len(members)))
+    shared = np.repeat(times > 1, times)  # the others are in one text only
+    owner = np.repeat(np.arange(m, dtype=np.int32), lengths)[order[shared]]
+    token = np.repeat(np.arange((times > 1).sum()), times[times > 1])
+    del members, order, shared
     common, width = np.zeros((m, m), np.float32), int(token[-1]) + 1 if len(token) else 0
     for low in range(0, width, _COLUMNS_AT_ONCE):
         first, last = np.searchsorted(token, [low, low + _COLUMNS_AT_ONCE])
@@ -215,8 +231,9 @@ def verified(dealt: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("tile", "side", "k1", "copies", "text")]
-            yield from zip(*columns)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                yield from zip(*(part.column(c).to_pylist() for c in ("tile", "side", "k1", "copies", "text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
