@@ -1,6 +1,6 @@
 """Toxicity by compression distance: how much shorter does a window of text get once a dictionary of toxic text is at hand?
 
-Two zstandard dictionaries are trained, one on ordinary text and one on the toxic text that ordinary text does not explain. Every window of
+There are two zstandard dictionaries, one trained on ordinary text and one filled with the words that set toxic text apart most. Every window of
 a text is compressed with the ordinary dictionary alone and with both; the bytes saved are its distance towards toxic text. Thresholds for
 windows and for texts are calibrated on labelled texts that took no part in training the dictionaries.
 """
@@ -27,10 +27,8 @@ WINDOW_WORDS = 16
 LEVEL = 12
 ORDINARY_BYTES, TOXIC_BYTES = 131_072, 1_536
 SEGMENT, MATCH = 32, 6
-# A run of characters sets toxic texts apart if it is in three of them or more, and in so many more than chance would have (standard
-# deviations).
+# Words are ranked by their runs of so many characters.
 GRAM = 5
-MIN_TEXTS, MIN_DEVIATIONS = 3, 10.0
 # A window stands out if it saves more than this share of the ordinary windows do.
 WINDOW_QUANTILE = 0.999
 RIDGE = 0.01
@@ -56,20 +54,35 @@ def grams(word: str) -> set[str]:
     return {marked[k:k + GRAM] for k in range(max(1, len(marked) - GRAM + 1))}
 
 
-def telling_words(toxic: list[str], ordinary: list[str]) -> set[str]:
-    """The words of toxic texts with a run of characters that is in many more toxic texts than chance would have."""
+def telling_words(toxic: list[str], ordinary: list[str]) -> list[str]:
+    """All words of toxic texts, the most telling ones first.
+
+    A word counts by the best of its runs of characters: by how many standard deviations the run is in more toxic texts than chance would
+    have. No level has to be reached, so that few toxic texts give words too.
+    """
     def of(text: str) -> set[str]:
-        return set().union(*map(grams, set(text.lower().split()))) if text.strip() else set()
+        return set().union(*map(grams, set(text.lower().split())))
 
     often = Counter(g for t in toxic for g in of(t))
-    often = {g: a for g, a in often.items() if a >= MIN_TEXTS}
     other = Counter(g for t in ordinary for g in of(t) if g in often)
-    n, m, telling = len(toxic), len(ordinary), set()
+    n, m, deviations = len(toxic), len(ordinary), {}
     for gram, a in often.items():
         p = (a + other[gram]) / (n + m)
-        if a - p * n > MIN_DEVIATIONS * math.sqrt(p * (1 - p) * n * m / (n + m)):
-            telling.add(gram)
-    return {w for t in toxic for w in set(t.lower().split()) if not telling.isdisjoint(grams(w))}
+        deviations[gram] = (a - p * n) / math.sqrt(p * (1 - p) * n * m / (n + m)) if p < 1 else 0.0
+    texts = Counter(w for t in toxic for w in set(t.lower().split()))
+    return sorted(texts, key=lambda w: (-max(deviations[g] for g in grams(w)), -texts[w], w))
+
+
+def filled(words: list[str], size: int) -> bytes:
+    """A dictionary of the first words that have room, the first one last; of one longer than all of it, the start."""
+    out, left = [], size
+    for word in words:
+        own = word.encode("utf-8")
+        if out and len(own) + 1 > left:
+            break
+        out.append(own[:size])
+        left -= len(own) + 1
+    return b" ".join(reversed(out))
 
 
 class Distances:
@@ -125,9 +138,7 @@ def fitted(texts: list[str], labels: list[int]) -> tuple[bytes, bytes, str]:
         return b"", b"", json.dumps({"prior": prior})
     train = [[t for k, t in enumerate(g) if k % CALIBRATION_SHARE] for g in groups]
     held = [(t, label) for g, label in zip(groups, (1, 0)) for t in g[::CALIBRATION_SHARE]]
-    telling = telling_words(*train)
-    marks = [w for t in train[0] for w in t.lower().split() if w in telling]
-    toxic = trained([" ".join(marks[at:at + 8]).encode("utf-8") for at in range(0, len(marks), 8)], TOXIC_BYTES)
+    toxic = filled(telling_words(*train), TOXIC_BYTES)
     ordinary = trained(list(dict.fromkeys(w for t in train[1] for w in windows(t))), ORDINARY_BYTES)
     distances = Distances(ordinary, toxic)
     saved = [distances.of(t) for t, _ in held]

@@ -369,6 +369,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert found[None][0].held_out and found[600][0].score == found[601][0].score
 
 
+@pytest.mark.parametrize("toxic, ordinary, least", [(30, 200, 0.8), (45, 284, 0.8), (12, 60, 0.4)])  # 12: four are for calibration
+def test_few_toxic_texts_fill_the_dictionary(toxic, ordinary, least):
+    rng, made = np.random.default_rng(toxic), []
+    for i in range(2 * (toxic + ordinary)):
+        tokens, label = prose(5000 + i, 60).split(), int(i % (toxic + ordinary) < toxic)
+        for _ in range(4 * label):
+            tokens[int(rng.integers(0, 60))] = ("zorgblat", "kwimpfen", "druxolit")[int(rng.integers(0, 3))]
+        made.append((" ".join(tokens), label))
+    plain, own, how = toxicity.fitted(*map(list, zip(*made[:toxic + ordinary])))
+    assert 0 < len(own) <= toxicity.TOXIC_BYTES and b"zorgblat" in own
+    distances, how = toxicity.Distances(plain, own), toxicity.json.loads(how)
+    found = [(np.asarray(how["weights"]) @ toxicity.features(distances.of(t), how["threshold"]) >= 0, label) for t, label in made[toxic + ordinary:]]
+    assert np.mean([p for p, label in found if label]) > least and np.mean([p for p, label in found if not label]) < 0.1
+
+
+def test_toxic_dictionary_of_awkward_texts():
+    assert toxicity.telling_words(["", "a a"], ["", "b"]) == ["a"] and toxicity.telling_words(["a"], ["a"]) == ["a"]
+    assert toxicity.filled([], 9) == b"" and toxicity.filled(["aaaa", "bb", "ccc"], 9) == b"bb aaaa" and toxicity.filled(["a" * 20], 9) == b"a" * 9
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = spark.createDataFrame([(1, "a b", None, None, None)], DOCS)
