@@ -41,7 +41,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest id stays."""
+    """Of linked documents (three-word shingles, similarity 0.9 or more, as in op9) the one with the smallest id stays."""
     first = ngram_join.join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(_id()).distinct()
     return docs.select(*COLUMNS, _id()).join(first, "_id", "left_semi").select(*COLUMNS)
 
