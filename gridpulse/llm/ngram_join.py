@@ -266,8 +266,8 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
        connected groups, expanded to their classes, are blocks. Two classes of different blocks cannot link.
     3. Blocks are verified in tiles of bounded size from the full sets. Only a spanning forest and counts leave a tile.
 
-    Null and empty texts have no shingles, link with nothing and are their own component. Rows of one id count as different rows. A
-    set that only rows without id have is not compared with others (these rows are copies of each other). Columns beside ``doc_id`` and
+    Null and empty texts have no shingles, link with nothing and are their own component. Rows of one id count as different rows,
+    rows without id too; a component of only such rows has a null ``component_id``. Columns beside ``doc_id`` and
     ``text`` play no part.
     """
     signed_docs = stored(signatures(docs, percent), "signatures")
@@ -286,7 +286,9 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     dealt = stored(tiles(inside, percent), "tiles")
     wanted = stored(dealt.select("doc_id").distinct(), "wanted")
     texts = docs.select("doc_id", "text").join(broadcast_ids(wanted), "doc_id", "left_semi")
-    linked = stored(verified(dealt.join(texts, "doc_id").drop("doc_id"), percent), "links")
+    columns = ("tile", "side", "k1", "copies", "text")
+    nameless = dealt.filter("doc_id IS NULL").join(texts_without_id(docs), "k1").select(*columns)
+    linked = stored(verified(dealt.join(texts, "doc_id").select(*columns).unionByName(nameless), percent), "links")
     found = stored(components(linked.select(F.col("k1").alias("a"), F.col("root").alias("b"))), "components")
     degree = linked.groupBy("k1").agg(F.sum("links").alias("links"))
     with_label = classes.select("k1", "n_shingles", "doc_id", "copies").join(
@@ -301,6 +303,20 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def texts_without_id(docs: DataFrame) -> DataFrame:
+    """``k1, text`` of the rows without id, one per set: they can only be found by their sets."""
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                keys = [set_keys(shingles(t))[0] for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), part.column("text")], names=["k1", "text"])
+
+    return docs.filter("doc_id IS NULL").select("text").mapInArrow(run, "k1 long, text string").dropDuplicates(["k1"])
+
+
 def reordered(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """``classes`` with their prefixes in the order that has the ``frequent`` shingles last.
 
@@ -333,5 +349,6 @@ def reordered(docs: DataFrame, classes: DataFrame, frequent: np.ndarray, percent
                     pa.array([set_keys(s)[0] for s in sets], pa.int64()),
                     pa.array([order.prefix(s, prefix_size(len(s), percent)).tobytes() for s in sets], pa.binary())], names=["k1", "prefix"])
 
-    again = texts.select("text").mapInArrow(read, "k1 long, prefix binary").dropDuplicates(["k1"])
+    texts = texts.select("text").unionByName(docs.filter("doc_id IS NULL").select("text"))
+    again = texts.mapInArrow(read, "k1 long, prefix binary").dropDuplicates(["k1"])
     return stored(known.filter("prefix IS NOT NULL").unionByName(short.join(again, "k1")), "reordered")

@@ -228,6 +228,17 @@ def test_jaccard_join_of_little(spark, docs):
     assert sorted((r.doc_id or -1, r.n_shingles, r.component_id, r.n_links) for r in rows) == [(-1, 1, 3, 2), (3, 1, 3, 2), (3, 1, 3, 2), (4, 0, 4, 0)]
 
 
+@pytest.mark.parametrize("frequent", [1, 10_000])
+def test_rows_without_id_link(spark, monkeypatch, frequent):
+    monkeypatch.setattr(ngram_join, "FREQUENT_FROM", frequent)
+    tokens = prose(8, 100).split()
+    near = [" ".join([*tokens[k:], *(f"x{j}" for j in range(k))]) for k in (0, 4, 8)]  # each links with the next only
+    far = prose(9, 80)
+    rows = [(1, near[0]), (None, near[1]), (2, near[2]), (None, far), (None, far + " more")]
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.n_links) for r in found) == [(-1, -1, 1), (-1, -1, 1), (-1, 1, 2), (1, 1, 1), (2, 1, 1)]
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(50, 51), (51, 50), (60, 60), (71, 70), (72, 70), (73, 72)]
     found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
