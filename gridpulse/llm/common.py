@@ -118,3 +118,21 @@ BROADCAST_IDS = 1_000_000
 def broadcast_ids(ids: DataFrame) -> DataFrame:
     """``ids`` (one stored column of longs) for broadcast if there are at most ``BROADCAST_IDS`` of them, 8 MB; else for a plain join."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+HOT_KEYS = 1000
+
+
+def join_unique(rows: DataFrame, unique: DataFrame, keys: list[str], counts: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``unique`` (one row per key, small rows) so that no key lands in one task.
+
+    ``counts`` has the number of ``rows`` per key (``keys, rows_of_key``; a superset of the keys is fine). Keys with more than a
+    thousandth of all rows, of which there are fewer than ``HOT_KEYS``, are matched where their rows lie, with a broadcast of these
+    keys' rows alone; all others meet by a shuffle. Keys must not be null. ``unique`` and ``counts`` should be stored: they are read twice.
+    """
+    total = counts.agg(F.sum("rows_of_key")).first()[0] or 0
+    hot = counts.filter(F.col("rows_of_key") * HOT_KEYS > F.lit(total)).select(*keys)
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+    few = F.broadcast(unique.join(F.broadcast(hot), keys, "left_semi"))
+    there = marked.filter("_hot").drop("_hot").join(few, keys, how)
+    return there.unionByName(marked.filter("_hot IS NULL").drop("_hot").join(unique, keys, how))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import dedup, html, ngram_join, packing, quality, secrets, sentencepieces, substrings, toxicity, warc
+from gridpulse.llm import (
+    dedup, disclosure, html, ngram_join, packing, quality, secrets, sentencepieces, spelling, substrings, toxicity, warc, whitening,
+)
 from gridpulse.llm.common import table
 from gridpulse.llm.oracles import EXACT_DEDUP_SQL, HTML_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL, WARC_SQL
 from gridpulse.plans.registry import query
@@ -86,3 +88,24 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.deduplicate(docs, older_half(docs)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Form and root of every frequent word, from its neighbours in a trie over all words."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@query()
+def op12_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: fixed patterns, and terms near them that disclose too much."""
+    return disclosure.scan(table(spark, folder, "documents")).select(
+        "doc_id", *(f"n_{kind}" for kind in disclosure.PATTERNS),
+        F.sha2(disclosure.written(F.col("base")), 256).alias("base_sha256"),
+        disclosure.written(F.concat("base", "added")).alias("spans"))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding on the first 32 components, whitened by the covariance of all."""
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
