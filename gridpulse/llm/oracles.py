@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridpulse.llm import quality, substrings
+from gridpulse.llm import disclosure, quality, spelling, substrings
 from gridpulse.llm.common import SPACES, WORD
 
 EXACT_DEDUP_SQL = f"""
@@ -143,3 +143,103 @@ d AS (
 )
 SELECT page_id, url, text, length(text) AS n_chars FROM d
 """
+
+
+def _crc_table() -> str:
+    """The 256 entries of the table for CRC-32 (reversed polynomial 0xEDB88320), as a SQL list."""
+    entries = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        entries.append(value)
+    return f"{entries}::BIGINT[]"
+
+
+# Letters of a run have one or two bytes: those from U+00C0 on are 0xC3 and their number less 64.
+SPELLING_SQL = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS times FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents
+    ) GROUP BY doc_id, run
+),
+hashed AS (
+    SELECT run, times, xor(list_reduce(list_concat([4294967295::BIGINT], flatten([
+        CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END
+        for c in string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')])),
+        lambda crc, b: xor(crc >> 8, ({_crc_table()})[(xor(crc, b) & 255) + 1])), 4294967295) AS h FROM runs
+),
+w AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % {spelling.TYPO_EVERY} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed
+    ) WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(times) >= {spelling.MIN_COUNT}
+),
+gone AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(0, length(word))) AS i FROM w)),
+near AS (
+    SELECT a.word AS a, b.word AS b FROM gone a JOIN gone b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT gone.word, w.word FROM gone JOIN w ON w.word = gone.rest
+    UNION SELECT w.word, gone.word FROM gone JOIN w ON w.word = gone.rest
+),
+best AS (
+    SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b, max(n) AS b_n FROM near JOIN w ON w.word = near.b GROUP BY a
+),
+formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= {spelling.FORM_TIMES} * w.n THEN b END AS form,
+        CASE WHEN b_n >= {spelling.FORM_TIMES} * w.n THEN b_n END AS form_n FROM w LEFT JOIN best ON best.a = w.word
+),
+walk(word, ends_at) AS (SELECT word, word FROM formed UNION ALL SELECT walk.word, f.form FROM walk JOIN formed f ON f.word = walk.ends_at WHERE f.form IS NOT NULL)
+SELECT formed.word, formed.form, walk.ends_at AS root, formed.n, formed.n_near, formed.form_n FROM formed JOIN walk ON walk.word = formed.word
+JOIN formed ends ON ends.word = walk.ends_at AND ends.form IS NULL
+"""
+
+# The patterns of the contract as they stand there; places follow from the pieces between the matches.
+_FOUND = " UNION ALL ".join(f"""
+    SELECT row, {rank} AS rank, '{kind}' AS kind, m, {value} AS value, start, start + length(m) AS "end",
+        right(pieces[i], {disclosure.REACH}) AS before, left(pieces[i + 1], {disclosure.REACH}) AS after FROM (
+        SELECT row, pieces, i, found[i] AS m, list_sum([length(p) for p in pieces[1:i]]) + coalesce(list_sum([length(f) for f in found[1:i - 1]]), 0) AS start
+        FROM (SELECT row, string_split_regex(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}') AS found, unnest(range(1, len(found) + 1)) AS i FROM docs)
+    ) WHERE {passes}""" for rank, (kind, pattern, value, passes) in enumerate((
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "lower(m)", "true"),
+        ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "m", "list_max([part::DOUBLE for part in string_split(m, '.')]) <= 255"),
+        ("card", r"[0-9](?:[\x20-]?[0-9])+", "translate(m, ' -', '')", """length(translate(m, ' -', '')) BETWEEN 14 AND 19 AND list_sum([
+            CASE WHEN k % 2 = 1 THEN d ELSE 2 * d - CASE WHEN d > 4 THEN 9 ELSE 0 END END for d, k in [c::INT for c in string_split(reverse(translate(m, ' -', '')), '')]]) % 10 = 0"""),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "translate(m, '+ ().-', '')", "length(translate(m, '+ ().-', '')) BETWEEN 10 AND 15"),
+    )))
+
+
+def _side(side: str, begin: str, cut: str) -> str:
+    return f"""SELECT row, entity, lower(t[i]) AS term, {begin} + coalesce(list_sum([length(x) + 1 for x in t[1:i - 1]]), 0) AS start, length(t[i]) AS long
+        FROM (SELECT *, string_split_regex({side}, '[^\\p{{L}}\\p{{N}}]') AS t, unnest(range(1, len(t) + 1)) AS i FROM named)
+        WHERE t[i] <> '' AND ({cut} OR length({side}) < {disclosure.REACH})"""
+
+
+DISCLOSURE_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS key FROM documents),
+found AS ({_FOUND}),
+named AS (SELECT *, kind || ':' || value AS entity FROM found),
+near AS (SELECT row, entity, term, start, start + long AS "end" FROM ({_side("before", "start - length(before)", "i > 1")}
+    UNION ALL {_side("after", '"end"', "i < len(t)")})),
+size AS (SELECT count(*)::DOUBLE AS total FROM docs),
+df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT row, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM docs) GROUP BY term),
+entities AS (SELECT entity, count(DISTINCT row) AS n_entity FROM named GROUP BY entity),
+pairs AS (SELECT entity, term, count(DISTINCT near.row) AS n_both, count(DISTINCT key) AS texts FROM near JOIN docs ON docs.row = near.row GROUP BY entity, term),
+told AS (
+    SELECT pairs.entity, pairs.term, CASE WHEN n_entity < total THEN log2(total * n_both / (n_entity * df)) / log2(total / n_entity) ELSE 0 END AS disclosure
+    FROM pairs JOIN entities ON entities.entity = pairs.entity JOIN df ON df.term = pairs.term, size WHERE texts >= {disclosure.MIN_TEXTS}
+),
+marks AS (
+    SELECT row, start, "end", max(disclosure) >= {disclosure.REMOVE} AS gone FROM near JOIN told ON told.entity = near.entity AND told.term = near.term
+    WHERE disclosure >= {disclosure.GENERALISE} GROUP BY row, start, "end"
+),
+spans AS (
+    SELECT row, start, rank, "end", kind FROM found
+    UNION ALL SELECT row, start, CASE WHEN gone THEN 5 ELSE 4 END, "end", CASE WHEN gone THEN 'removed' ELSE 'generalised' END FROM marks
+    WHERE NOT EXISTS (SELECT 1 FROM found WHERE found.row = marks.row AND found.start < marks."end" AND found."end" > marks.start)
+),
+joined AS (
+    SELECT row, count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip, count(*) FILTER (rank = 2) AS n_card, count(*) FILTER (rank = 3) AS n_phone,
+        string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+        string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) AS spans FROM spans GROUP BY row
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN joined ON joined.row = docs.row
+""".replace("\\\\", "\\")

@@ -66,7 +66,8 @@ class ByteLevelEncoder:
 
     A byte-level vocabulary with the usual word pattern never joins a word with what stands before its space: a single space
     belongs to the word after it and a single line break stands alone. So a text with single spaces and breaks only is encoded
-    word by word, from the vocabulary's ranks; any other text goes through the tokenizer as it is. Both give the same ids.
+    word by word, from the vocabulary's ranks; any other text, and one that holds an added token, goes through the tokenizer as it is.
+    Both give the same ids.
     """
 
     def __init__(self, tokenizer: str, ranks: str):
@@ -79,12 +80,15 @@ class ByteLevelEncoder:
     def tokenizer(self):
         from tokenizers import Tokenizer
 
-        loaded = Tokenizer.from_file(self.path)
-        loaded.encode_special_tokens = True
-        return loaded
+        return Tokenizer.from_file(self.path)
+
+    @cached_property
+    def added(self) -> list[str]:
+        """Literal tokens that the file adds to its vocabulary, such as marks of a text's end; they are found anywhere in a text."""
+        return [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> bytes:
-        if not evenly_spaced(text):
+        if any(token in text for token in self.added) or not evenly_spaced(text):
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         lines = []
         for line in text.split("\n"):

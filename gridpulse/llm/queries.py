@@ -9,7 +9,9 @@ from gridpulse.llm import (
     dedup, disclosure, html, ngram_join, packing, quality, secrets, sentencepieces, spelling, substrings, toxicity, warc, whitening,
 )
 from gridpulse.llm.common import table
-from gridpulse.llm.oracles import EXACT_DEDUP_SQL, HTML_SQL, JACCARD_SQL, QUALITY_SQL, SUBSTRING_SQL, WARC_SQL
+from gridpulse.llm.oracles import (
+    DISCLOSURE_SQL, EXACT_DEDUP_SQL, HTML_SQL, JACCARD_SQL, QUALITY_SQL, SPELLING_SQL, SUBSTRING_SQL, WARC_SQL,
+)
 from gridpulse.plans.registry import query
 from gridpulse.session import scratch_path
 
@@ -90,13 +92,13 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+@query(SPELLING_SQL)
 def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Form and root of every frequent word, from its neighbours in a trie over all words."""
     return spelling.variants(table(spark, folder, "documents"))
 
 
-@query()
+@query(DISCLOSURE_SQL)
 def op12_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document: fixed patterns, and terms near them that disclose too much."""
     return disclosure.scan(table(spark, folder, "documents")).select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,10 +22,11 @@ ASSIGN_HINTS = ("passw", "secret", "token", "api")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MAX_CHARS_PER_TOKEN = 2.0
 # Known digests and identifiers, which look random but are no secrets (MD5, SHA-1, SHA-2 in hex; UUIDs; numbers; words joined by signs).
+# A word is in one case, or capitalised; letters of mixed case are tested, and names in camel case pass by their tokens.
 KNOWN = re.compile(
     r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-    r"|[0-9+/_=-]+|[A-Za-z]+(?:[+/_=-]+[A-Za-z]+)*[0-9]{0,4}|[+/_=-]*)"
+    r"|[0-9+/_=-]+|(?:[A-Z]?[a-z]+|[A-Z]+)(?:[+/_=-]+(?:[A-Z]?[a-z]+|[A-Z]+))*[0-9]{0,4}|[+/_=-]*)"
 )
 DIGEST_LABEL = re.compile(r"(?:sha-?\d*|md5|digest|checksum|integrity|uuid|guid|etag)[-:= \"']{1,4}\Z", re.I | re.A)
 
@@ -51,17 +53,31 @@ def _by_place(span: tuple[int, int, str]) -> tuple[int, int]:
     return span[0], KINDS.index(span[2])
 
 
+def outside(start: int, end: int, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """The parts of a stretch of text that no span (sorted by start) touches."""
+    for low, high, _ in taken:
+        if low >= end:
+            break
+        if high > start:
+            if low > start:
+                yield start, low
+            start = max(start, high)
+    if start < end:
+        yield start, end
+
+
 def random_spans(text: str, taken: list[tuple[int, int, str]], path: str, max_ratio: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, str]]:
-    """Strings that fail the token-efficiency test and meet none of the spans already ``taken``."""
-    found = []
+    """Strings that fail the token-efficiency test; of one that a span already ``taken`` touches, the parts outside that are long enough."""
+    found, passed = [], 0
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if KNOWN.fullmatch(run) or DIGEST_LABEL.search(text, max(0, m.start() - 16), m.start()):
-            continue
-        if any(start < m.end() and m.start() < end for start, end, _ in taken):
+        if DIGEST_LABEL.search(text, max(0, m.start() - 16), m.start()):
             continue
-        if len(run) < max_ratio * len(rank_vocabulary(path).encode_ordinary(run)):
-            found.append((m.start(), m.end(), "random"))
+        while passed < len(taken) and taken[passed][1] <= m.start():
+            passed += 1
+        for start, end in outside(m.start(), m.end(), taken[passed:]):
+            run = text[start:end]
+            if CANDIDATE.fullmatch(run) and not KNOWN.fullmatch(run) and len(run) < max_ratio * len(rank_vocabulary(path).encode_ordinary(run)):
+                found.append((start, end, "random"))
     return found
 
 

@@ -1,6 +1,6 @@
 """Spelling variants of a corpus' words: neighbours at one edit from a frontier over a trie that is a table, then forms and roots.
 
-The trie is never in one place. A node is the 128-bit digest of a prefix, the edge table has the labels that leave each node (letters, or
+The trie is never in one place. A node is the hash of a prefix, the edge table has the labels that leave each node (letters, or
 ``END`` where a word ends), and search states ``(word, position, node, edits)`` meet it in joins, level by level:
 
 * without edits a word walks its own path, so its states are its own prefixes. Two words one edit apart part at the end of their
@@ -9,7 +9,8 @@ The trie is never in one place. A node is the 128-bit digest of a prefix, the ed
   half on the mirror image; so states begin at the middle, where few labels are left, and never at the crowded root.
 * After the edit, a state lives as long as its next node exists. A node exists only if all above it do, so levels are taken in strides
   of 1, 2, 4, ...: the number of joins grows with the logarithm of the longest word.
-* A state that ends at an ``END`` is a neighbour; it is compared in full, so digests decide nothing.
+* A state that ends at an ``END`` is a neighbour; the two words are compared in full. Prefixes of one hash can only add states, so hashes
+  decide nothing.
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count as counter
 
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from gridpulse.llm.common import join_unique, map_batches, stored
+from gridpulse.llm.common import stored
 from gridpulse.session import ship_package
 
 # Fixed values of the contract: letters, one run of a document in 199 loses a code point.
@@ -63,124 +64,78 @@ def vocabulary(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
     return counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
 
-def _facing(word: str, back: bool) -> str:
+def _facing(word: str = "word", back: str = "back") -> Column:
     """The word, or its mirror image."""
-    return word[::-1] if back else word
+    return F.when(F.col(back), F.reverse(word)).otherwise(F.col(word))
 
 
-def _nodes(facing: str, back: bool) -> list[bytes]:
-    """The digests of all prefixes from the empty one to the whole word; mirror images have a trie of their own."""
-    digest = xxhash.xxh3_128(b"<" if back else b">")
-    nodes = [digest.digest()]
-    for letter in facing:
-        digest.update(letter.encode())
-        nodes.append(digest.digest())
-    return nodes
+def _node(prefix: Column) -> Column:
+    """The node of a prefix; mirror images have a trie of their own."""
+    return F.xxhash64("back", prefix)
 
 
-def _node(prefix: str, back: bool) -> bytes:
-    return xxhash.xxh3_128_digest((b"<" if back else b">") + prefix.encode())
+def _walks(words: DataFrame, first: str) -> DataFrame:
+    """``word, back, position, node, label``: every word's own way, forwards and mirrored, from position ``first`` (SQL) to its end."""
+    both = words.select("word", F.explode(F.array(F.lit(False), F.lit(True))).alias("back")).withColumn("facing", _facing())
+    each = both.select("word", "back", "facing", F.explode(F.expr(f"sequence(int({first}), length(word))")).alias("position"))
+    return each.select("word", "back", "position", _node(F.expr("left(facing, position)")).alias("node"),
+                       F.expr("substr(facing, position + 1, 1)").alias("label"))  # empty at the end: END
 
 
-def trie_paths(words: DataFrame) -> DataFrame:
-    """``key, back, position, node, label``: each word's way through the trie from its middle on, and through that of mirror images.
+def trie_nodes(words: DataFrame) -> DataFrame:
+    """``node, labels``: the labels that leave each node which a search can meet.
 
-    ``key`` stands for the word, the digest of the whole of it, so that a long word is not repeated at each of its letters.
+    Neighbours of a word with one code point less are met from the middle of that one on. Labels are as many as the alphabet has letters.
     """
+    steps = _walks(words, "(length(word) - 1) div 2").select("node", "label").distinct()
+    return steps.groupBy("node").agg(F.collect_list("label").alias("labels"))
 
-    def rows(batch: dict[str, list]) -> dict[str, list]:
-        out = {"key": [], "back": [], "position": [], "node": [], "label": []}
-        for word in batch["word"]:
-            key = _node(word, False)
-            for back in (False, True):
-                facing = _facing(word, back)
-                nodes = _nodes(facing, back)
-                for position in range(len(word) // 2, len(word) + 1):
-                    for name, value in zip(out, (key, back, position, nodes[position], facing[position:position + 1] or END)):
-                        out[name].append(value)
-        return out
 
-    return map_batches(words.select("word"), rows, "key binary, back boolean, position int, node binary, label string")
+def trie_edges(words: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, other, beyond``: the distributed edge table where ways part, with the labels that leave the node at the edge's end."""
+    steps = _walks(words, "(length(word) - 1) div 2").filter(F.col("label") != END).withColumn("facing", _facing())
+    edges = steps.select("node", F.col("label").alias("other"), _node(F.expr("left(facing, position + 1)")).alias("child")).distinct()
+    parting = nodes.filter(F.size("labels") > 1).select("node")
+    return edges.join(parting, "node", "left_semi").join(nodes.select(F.col("node").alias("child"), F.col("labels").alias("beyond")), "child").drop("child")
 
 
-def keyed(words: DataFrame) -> DataFrame:
-    """``key, word``"""
-    return map_batches(words.select("word"), lambda batch: {"key": [_node(word, False) for word in batch["word"]], **batch}, "key binary, word string")
+def _after_edit(words: DataFrame, edges: DataFrame) -> DataFrame:
+    """States one level after the edit, ``word, back, target, position``: a letter put in or replaced where another way leaves the word's own.
 
-
-def trie_edges(words: DataFrame) -> DataFrame:
-    """``node, labels``: the distributed edge table, one row per node from which some state can start or go on."""
-
-    def rows(batch: dict[str, list]) -> dict[str, list]:
-        found = set()
-        for word in batch["word"]:
-            for back in (False, True):
-                facing = _facing(word, back)
-                # A neighbour of a shorter word is met from depth (length - 1) // 2 on.
-                found.update((node, facing[i:i + 1] or END) for i, node in enumerate(_nodes(facing, back)) if i >= (len(word) - 1) // 2)
-        return {"node": [node for node, _ in found], "label": [label for _, label in found]}
-
-    distinct = map_batches(words.select("word"), rows, "node binary, label string").distinct()
-    return distinct.groupBy("node").agg(F.collect_list("label").alias("labels"))
-
-
-def _branched(words: DataFrame, paths: DataFrame, edges: DataFrame) -> DataFrame:
-    """States after the edit, as ``word, back, position, target``: at the node's other labels, a letter replaced or one put in.
-
-    ``target`` is the neighbour to be found (facing the way of the walk), ``position`` how many of its code points are known to be in the trie.
-    A letter taken out is the same pair as one put into the other word; of a replaced pair only the smaller word starts.
+    ``target`` is the neighbour to be found (facing the way of the walk), ``position`` how many of its code points are known to be a node.
+    A letter taken out is the same pair as one put into the other word; of a replaced pair only the smaller word starts. Most ways end at
+    once, because the first letter after the edit does not go on from there; they never leave the join.
     """
-    branching = stored(edges.filter(F.size("labels") > 1), "branching")
-    counts = stored(paths.groupBy("node").agg(F.count("*").alias("rows_of_key")), "states-per-node")
-    starts = join_unique(paths, branching, ["node"], counts).select(
-        "key", "back", "position", "label", F.explode("labels").alias("other")).filter("other <> label AND other <> ''")
-    starts = starts.join(keyed(words), "key")
-
-    def rows(batch: dict[str, list]) -> dict[str, list]:
-        out = {"word": [], "back": [], "position": [], "target": []}
-        for word, back, position, label, other in zip(*(batch[c] for c in ("word", "back", "position", "label", "other"))):
-            facing = _facing(word, back)
-            targets = [facing[:position] + other + facing[position:]]
-            if label != END and other > label:
-                targets.append(facing[:position] + other + facing[position + 1:])
-            for target in targets:
-                for name, value in zip(out, (word, back, position + 1, target)):
-                    out[name].append(value)
-        return out
-
-    return map_batches(starts, rows, "word string, back boolean, position int, target string")
-
-
-def _advanced(states: DataFrame, stride: int) -> DataFrame:
-    """The states ``stride`` levels on, or at the target's end: ``word, back, position, target, node``."""
-
-    def rows(batch: dict[str, list]) -> dict[str, list]:
-        ends = [min(position + stride, len(target)) for position, target in zip(batch["position"], batch["target"])]
-        node = [_node(target[:end], back) for target, end, back in zip(batch["target"], ends, batch["back"])]
-        return {"word": batch["word"], "back": batch["back"], "position": ends, "target": batch["target"], "node": node}
-
-    return map_batches(states, rows, "word string, back boolean, position int, target string, node binary")
+    met = _walks(words, "length(word) div 2").withColumn("facing", _facing()).join(edges, "node").filter("other <> label")
+    put_in = F.array_contains("beyond", F.col("label"))
+    after = F.expr("substr(facing, position + 2, 1)")
+    replaced = (F.col("label") != END) & (F.col("other") > F.col("label")) & F.array_contains("beyond", after)
+    known = F.when(put_in & replaced, F.array(F.lit(0), F.lit(1))).when(put_in, F.array(F.lit(0))).when(replaced, F.array(F.lit(1)))
+    ways = met.select("word", "back", "facing", "position", "other", F.explode(known).alias("gone"))
+    target = F.expr("concat(left(facing, position), other, substr(facing, position + 1 + gone))")
+    return ways.select("word", "back", target.alias("target"), F.least(F.col("position") + 2, F.length(target)).alias("position"))
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """``a, b``, once each way: distinct words that one inserted, deleted or replaced code point turns into one another.
 
-    ``words`` has one row per word (``word``, stored). The frontier is stored after every join, so a lost executor costs one level.
+    ``words`` has one row per word (``word``, stored). The frontier is stored after every join, so a lost executor costs one level. A node
+    on the way of very many words is a skewed key of a plain join, which adaptive execution splits; no row of it has more than an alphabet.
     """
-    paths, edges = stored(trie_paths(words), "paths"), stored(trie_edges(words), "trie")
-    ends = edges.select("node", F.array_contains("labels", END).alias("is_end"))
-    frontier, found = stored(_branched(words, paths, edges), "frontier"), []
-    for level in counter():
-        alive = stored(_advanced(frontier, 1 << level).join(ends, "node").drop("node"), "frontier")
-        at_end = F.col("position") == F.length("target")
-        found.append(alive.filter(at_end & F.col("is_end")).select(
-            F.col("word").alias("a"), F.when(F.col("back"), F.reverse("target")).otherwise(F.col("target")).alias("b")))
-        frontier = alive.filter(~at_end).drop("is_end")
-        if frontier.isEmpty():
+    nodes = stored(trie_nodes(words), "trie")
+    frontier, found = stored(_after_edit(words, trie_edges(words, nodes)), "frontier"), []
+    ends = nodes.select("node", F.array_contains("labels", END).alias("is_end"))
+    at_end = F.col("position") == F.length("target")
+    for level in counter(1):
+        # At a target's end the node must end a word; before it, being a node is enough.
+        checked = frontier.withColumn("node", _node(F.expr("left(target, position)"))).join(ends, "node").drop("node")
+        alive = stored(checked.filter(~at_end | F.col("is_end")).select("word", "back", "target", "position"), "frontier")
+        found.append(alive.filter(at_end).select("word", F.when(F.col("back"), F.reverse("target")).otherwise(F.col("target")).alias("other")))
+        going = alive.filter(~at_end)
+        if going.isEmpty():
             break
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
+        frontier = going.withColumn("position", F.least(F.col("position") + (1 << level), F.length("target")))
+    pairs = reduce(DataFrame.unionByName, found).select(F.col("word").alias("a"), F.col("other").alias("b"))
     pairs = pairs.filter(F.levenshtein("a", "b", 1) == 1)
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 

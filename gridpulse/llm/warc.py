@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -50,9 +51,13 @@ def _named(page_id: int | None) -> str:
     return f"<urn:page:{'none' if page_id is None else page_id}>"
 
 
+_PAGE = re.compile(r"<urn:page:(-?[0-9]+)>")
+
+
 def _page(name: str | None) -> int | None:
-    number = (name or "")[len("<urn:page:"):-1]
-    return int(number) if number.lstrip("-").isdigit() else None
+    """The page a record is named after; null for the names that other archives give."""
+    found = _PAGE.fullmatch(name or "")
+    return int(found[1]) if found else None
 
 
 def record(row: dict) -> bytes:
@@ -96,41 +101,61 @@ def parsed_headers(data: bytes) -> tuple[dict[str, str], int] | None:
 
 
 class _Member:
-    """A record being read: headers first, the rest only on demand."""
+    """A record being read, from a gzip member or plain: headers first, the rest only on demand."""
 
     def __init__(self, stream, start: int):
         self.stream, self.start = stream, start
         stream.seek(start)
         self.head = stream.read(HEAD_BYTES)
+        self.plain = self.head[:2] != GZIP_HEAD[:2]
         self.length = member_length(self.head)
-        self.unpacker = zlib.decompressobj(31)
-        self.data = self.unpacker.decompress(self.head, HEAD_BYTES)
-        while (found := parsed_headers(self.data)) is None or b"\r\n\r\n" not in self.data[found[1]:]:
-            if not self._more(HEAD_BYTES):
-                break
+        self.unpacker = None if self.plain else zlib.decompressobj(31)
+        self.data = self.head if self.plain else self.unpacker.decompress(self.head, HEAD_BYTES)
+        while (found := parsed_headers(self.data)) is None and self._more(HEAD_BYTES):
+            pass
         self.headers, self.block = found or ({}, 0)
+        length = self.headers.get("content-length", "")
+        self.end = self.block + (int(length) if length.isdigit() else 0)
+        # Only blocks that say so begin with the head of an HTTP message.
+        while self.is_http and b"\r\n\r\n" not in self.data[self.block:self.end] and len(self.data) < self.end and self._more(HEAD_BYTES):
+            pass
 
     def _more(self, size: int) -> bool:
+        if self.plain:
+            raw = self.stream.read(size)
+            self.data += raw
+            return bool(raw)
         raw = self.unpacker.unconsumed_tail or self.stream.read(max(size, HEAD_BYTES))
         if self.unpacker.eof or not raw:
             return False
         self.data += self.unpacker.decompress(raw, size)
         return True
 
+    @property
+    def is_http(self) -> bool:
+        return self.headers.get("content-type", "").lower().startswith("application/http")
+
     def http(self) -> tuple[dict[str, str], int]:
-        found = parsed_headers(self.data[self.block:])
+        """The headers of the message in the block and where its payload begins; a block of another kind is all payload."""
+        found = parsed_headers(self.data[self.block:self.end]) if self.is_http else None
         return (found[0], self.block + found[1]) if found else ({}, self.block)
 
+    def payload_bytes(self) -> int | None:
+        """What the message says of its payload's length, also where the record leaves it out; without a message the block's."""
+        length = self.http()[0].get("content-length", "") if self.is_http else str(self.end - self.block)
+        return int(length) if length.isdigit() else None
+
     def payload(self) -> bytes:
-        end = self.block + int(self.headers.get("content-length", 0))
-        while len(self.data) < end and self._more(end - len(self.data)):
+        while len(self.data) < self.end and self._more(self.end - len(self.data)):
             pass
-        return self.data[self.http()[1]:end]
+        return self.data[self.http()[1]:self.end]
 
     def after(self) -> int:
-        """Where the next member begins."""
+        """Where the next record begins."""
         if self.length:
             return self.start + self.length
+        if self.plain:
+            return self.start + self.end + 4 if self.headers else self.start + max(len(self.data), 1)
         while not self.unpacker.eof and self._more(1 << 20):
             self.data = b""
         return self.stream.tell() - len(self.unpacker.unused_data)
@@ -159,7 +184,8 @@ class Written(WriterCommitMessage):
 
 
 def _at(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path)
+    """The file system of a path or URI. Hadoop's names of S3 stand for S3."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
 
 
 class WarcReader(DataSourceReader):
@@ -203,8 +229,7 @@ class WarcReader(DataSourceReader):
                 found = _Member(stream, at)
                 row = {c: header_value(c, found.headers) for c in HEADER_OF}
                 if row["record_type"] and all(row[c] in values for c, values in self.wanted.items()):
-                    length = found.http()[0].get("content-length", "")
-                    row["payload_bytes"] = int(length) if length.isdigit() else None
+                    row["payload_bytes"] = found.payload_bytes()
                     row["payload"] = found.payload() if "payload" in fields and row["record_type"] != "revisit" else None
                     yield {c: row.get(c) for c in self.schema.names}
                 at = found.after()
