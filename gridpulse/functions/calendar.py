@@ -16,7 +16,11 @@ def local_time(epoch_ms: Column | str, offset_hours: int = 0) -> Column:
 
 
 def bucket_start(ts: str, width: str) -> Column:
-    """Start of the tumbling interval of ``width`` (such as ``1 hour``) that holds ``ts``."""
+    """Start of the tumbling interval of ``width`` (such as ``1 hour``) that holds ``ts``.
+
+    A row without a time lies in no interval: the plan drops it, also where only its area is asked for. Records that should count for their area
+    alone need a time before they get here.
+    """
     return F.window(F.col(ts), width).getField("start")
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridpulse.functions.calendar import within_dates
-from gridpulse.functions.ranking import rank_pick, rank_rows
+from gridpulse.functions.ranking import pick_ranked, rank_rows
 from gridpulse.functions.scalars import no_activity_as_zero
 
 SUBSTITUTE_SHARES = ((1, 3), (2, 3))  # fixed values: a third and two thirds down the ranking
@@ -43,9 +43,14 @@ def busiest(area_totals: DataFrame) -> DataFrame:
 
 
 def substitutes(area_totals: DataFrame) -> DataFrame:
-    """The areas a third and two thirds down the ranking, as ``pick`` 0 and 1."""
-    pick = rank_pick(SUBSTITUTE_SHARES)
-    return ranked_by_total(area_totals).select(pick.alias("pick"), "area_id").where(F.col("pick").isNotNull())
+    """The areas a third and two thirds down the ranking, as ``pick`` 0 and 1, selected without sorting all areas."""
+    kept = area_totals.persist()
+    try:
+        picked = pick_ranked(kept, "total_traffic", "area_id", SUBSTITUTE_SHARES)
+    finally:
+        kept.unpersist()
+    return area_totals.sparkSession.createDataFrame(list(enumerate(picked)), T.StructType([
+        T.StructField("pick", T.IntegerType()), area_totals.schema["area_id"]]))
 
 
 def present(area_totals: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -60,20 +65,20 @@ def target_areas(area_totals: DataFrame, fixed: Sequence[int]) -> DataFrame:
     """``label, area_id`` for the busiest area and the fixed ids.
 
     A fixed id that is not in the data is replaced by the first substitute no label uses yet, then
-    by the best-ranked unused area; an error if the grid is too small. Only as many candidate ids
-    as there are labels reach the driver.
+    by the best-ranked unused area; an error if the grid is too small. The best few are a bounded heap per task, substitutes are
+    selected by rank: nothing sorts all areas, and only a handful of ids reach the driver.
     """
-    spark = area_totals.sparkSession
-    ranked = ranked_by_total(area_totals)
-    pick = rank_pick(SUBSTITUTE_SHARES)
-    candidates = ranked.select("area_id", "rank", pick.alias("pick")).where(
-        F.col("area_id").isin(list(fixed)) | F.col("pick").isNotNull() | (F.col("rank") <= len(fixed) + 2)
-    ).orderBy("rank").collect()
-    if not candidates:
+    # The totals are needed a few times while choosing; a lost executor's part of them is computed again.
+    kept = area_totals.persist()
+    try:
+        top = [r.area_id for r in by_total(kept).limit(len(fixed) + 3).collect()]
+        known = {r.area_id for r in kept.where(F.col("area_id").isin(list(fixed))).select("area_id").collect()}
+        in_turn = (pick_ranked(kept, "total_traffic", "area_id", SUBSTITUTE_SHARES) if known != set(fixed) else []) + top
+    finally:
+        kept.unpersist()
+    if not top:
         raise ValueError("there are no areas to choose from")
-    known = {r.area_id for r in candidates}
-    in_turn = [r.area_id for r in sorted(candidates, key=lambda r: (r.pick is None, r.pick or 0, r.rank))]
-    chosen = [("highest", candidates[0].area_id)]
+    chosen = [("highest", top[0])]
     for i, area in enumerate(fixed, start=1):
         if area not in known:
             taken = {a for _, a in chosen}
@@ -81,4 +86,4 @@ def target_areas(area_totals: DataFrame, fixed: Sequence[int]) -> DataFrame:
             if area is None:
                 raise ValueError(f"no unused area is left to stand in for fixed_{i}")
         chosen.append((f"fixed_{i}", area))
-    return spark.createDataFrame(chosen, "label string, area_id int")
+    return area_totals.sparkSession.createDataFrame(chosen, "label string, area_id int")

@@ -12,9 +12,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridpulse.functions.scalars import clip_at_zero, order_text
+from gridpulse.operators import regression
 from gridpulse.operators.preparation import Split, split_rows
 from gridpulse.operators.temporal import undo_seasonal_difference
 from gridpulse.session import ship_package, spread
@@ -23,6 +24,7 @@ Order = tuple[int, int, int]
 
 FITS = (
     "area_id int, p int, d int, q int, aic double, bic double, n_fit int, converged boolean, "
+    "intercept double, ar array<double>, ma array<double>, "
     "train_time_s double, predict_time_s double, "
     "ts array<timestamp_ntz>, y_true array<double>, lagged array<double>, step_ahead array<double>"
 )
@@ -197,6 +199,7 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
             "area_id": rows["area_id"].iloc[0], "p": p, "d": d, "q": q,
             "aic": fit.aic if fit else np.nan, "bic": fit.bic if fit else np.nan,
             "n_fit": fit.rows if fit else 0, "converged": bool(fit and fit.converged),
+            "intercept": fit.intercept if fit else np.nan, "ar": list(fit.ar) if fit else None, "ma": list(fit.ma) if fit else None,
             "train_time_s": trained - begin if fit else np.nan,
             "predict_time_s": predicted - trained if fit else np.nan,
             "ts": list(rows["ts"][test]), "y_true": rows["value"].to_numpy()[test],
@@ -260,3 +263,80 @@ def ar1_predictions(series: DataFrame, split: Split, period: int = 144) -> DataF
         "area_id", F.lit("SARIMA").alias("model"), "ts", F.col("value").alias("y_true"),
         clip_at_zero(ahead).alias("y_pred"),
     )
+
+
+# Above so many lags the cross products of one area are too many columns for one aggregate.
+MAX_CLOSED_ORDER = 8
+NOT_A_NUMBER = float("nan")
+
+
+def with_lags(series: DataFrame, split: Split, lags: int, period: int, seasonal_diff: int = 1, tail_rows: int | None = None) -> DataFrame:
+    """Labelled, seasonally differenced rows with ``before``: the ``lags`` differences before each row, latest first (NULL before the first)."""
+    rows = _with_history(series, split, period, seasonal_diff, tail_rows)
+    order = Window.partitionBy("area_id").orderBy("place")
+    return rows.withColumn("before", F.array(*[F.lag("diff", i).over(order) for i in range(1, lags + 1)]))
+
+
+def ar_fits(rows: DataFrame, orders: Sequence[int]) -> DataFrame:
+    """Autoregressions (p,0,0) of all ``orders`` at once: ``area_id, p, n_fit, failed, coefficients, sse, aic, bic``.
+
+    ``rows`` as from :func:`with_lags`. Conditional least squares without moving-average terms is a regression, so the cross products of all
+    lags are one aggregate per area and the coefficients (intercept first) come from sweeps on arrays; no Python. A candidate with too few
+    rows or with collinear lags (a constant series) fails: its criteria are NaN.
+    """
+    if not orders or min(orders) < 1 or max(orders) > MAX_CLOSED_ORDER:
+        raise ValueError(f"orders must be between 1 and {MAX_CLOSED_ORDER}")
+    lags = [F.col("before")[i] for i in range(max(orders))]
+
+    def products(p: int) -> Column:
+        used = ~F.col("is_test") & lags[p - 1].isNotNull()
+        columns = [F.lit(1.0), *lags[:p], F.col("diff")]
+        return F.struct(F.lit(p).alias("p"), F.count_if(used).alias("n_fit"), regression.cross_products(columns, used).alias("products"))
+
+    each = rows.groupBy("area_id").agg(F.array(*[products(p) for p in orders]).alias("candidates")).select("area_id", F.inline("candidates"))
+    solved = each.withColumn("solved", regression.swept("products", "(p + 2)", "(p + 1)", skip_collinear=False))
+    sse = F.col("solved.a")[(F.col("p") + 2) * (F.col("p") + 2) - 1]
+    too_few = F.col("n_fit") <= 2 * (F.col("p") + 2) + 10
+    out = solved.select("area_id", "p", "n_fit", regression.coefficients("solved.a", "(p + 2)", "(p + 1)").alias("coefficients"), sse.alias("sse"),
+                        (too_few | F.isnan(sse)).alias("failed"))
+    parameters = F.col("p") + 2
+    deviance = F.col("n_fit") * (F.log(F.lit(2.0 * np.pi) * F.greatest("sse", F.lit(np.finfo(float).tiny)) / F.col("n_fit")) + 1.0)
+    return out.select(
+        "area_id", "p", "n_fit", "failed", "coefficients", "sse",
+        F.when(F.col("failed"), F.lit(NOT_A_NUMBER)).otherwise(deviance + 2.0 * parameters).alias("aic"),
+        F.when(F.col("failed"), F.lit(NOT_A_NUMBER)).otherwise(deviance + F.log("n_fit") * parameters).alias("bic"))
+
+
+def ar_predictions(rows: DataFrame, fits: DataFrame, seasonal_diff: int = 1, model: str = "SARIMA") -> DataFrame:
+    """The test week under every fitted autoregression: ``area_id, model, order, ts, y_true, y_pred``; NaN where the fit failed."""
+    ahead = F.expr("aggregate(sequence(1, p), coefficients[0], (s, i) -> s + coefficients[i] * before[i - 1])")
+    restored = clip_at_zero(undo_seasonal_difference(ahead, F.col("lagged"), seasonal_diff))
+    return rows.where("is_test").join(fits, "area_id").select(
+        "area_id", F.lit(model).alias("model"), order_text(F.col("p"), F.lit(0), F.lit(0)).alias("order"), "ts", F.col("value").alias("y_true"),
+        F.when(F.col("failed"), F.lit(NOT_A_NUMBER)).otherwise(restored).alias("y_pred"))
+
+
+def one_step_errors(rows: DataFrame, parameters: DataFrame) -> DataFrame:
+    """``area_id, ts, place, is_test, value, lagged, diff, error``: innovations of an ARMA model with given parameters, without Python.
+
+    ``rows`` as from :func:`with_lags` (any number of lags), ``parameters`` one row per area: ``area_id, intercept, ar, ma`` (arrays). An error
+    is what the model, knowing all values and errors before, does not foresee; errors before the first foreseeable row count as 0. Errors
+    depend on one another in time order, so an area's rows become one ordered array (its length is set by the calendar) and a fold.
+    """
+    whole = rows.groupBy("area_id").agg(F.array_sort(F.collect_list(
+        F.struct("place", "ts", "is_test", "value", "lagged", "diff"))).alias("points"))
+    step = """aggregate(sequence(0, size(points) - 1), cast(array() as array<double>), (e, t) -> concat(e, array(if(t < size(ar), null,
+        points[t].diff - intercept
+        - aggregate(if(size(ar) > 0, sequence(1, size(ar)), array()), 0D, (s, i) -> s + ar[i - 1] * points[t - i].diff)
+        - aggregate(if(size(ma) > 0, sequence(1, size(ma)), array()), 0D, (s, j) -> s + if(t < j, 0D, ma[j - 1] * coalesce(e[t - j], 0D)))))))"""
+    known = whole.join(parameters, "area_id").withColumn("errors", F.expr(step))
+    return known.select("area_id", F.inline(F.arrays_zip("points", "errors"))).select("area_id", "points.*", F.col("errors").alias("error")).select(
+        "area_id", "ts", "place", "is_test", "value", "lagged", "diff", "error").where(F.col("error").isNotNull())
+
+
+def given_predictions(series: DataFrame, split: Split, parameters: DataFrame, period: int = 144, seasonal_diff: int = 1,
+                      model: str = "SARIMA") -> DataFrame:
+    """The test week one step ahead under given parameters (:func:`one_step_errors`): ``area_id, model, ts, y_true, y_pred``."""
+    errors = one_step_errors(_with_history(series, split, period, seasonal_diff, None), parameters).where("is_test")
+    restored = undo_seasonal_difference(F.col("diff") - F.col("error"), F.col("lagged"), seasonal_diff)
+    return errors.select("area_id", F.lit(model).alias("model"), "ts", F.col("value").alias("y_true"), clip_at_zero(restored).alias("y_pred"))

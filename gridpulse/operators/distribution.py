@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridpulse.functions.ranking import percentile_of_ranked, rank_rows
 from gridpulse.functions.scalars import is_finite
-from gridpulse.session import materialize
 
 
 def summary(area_totals: DataFrame) -> DataFrame:
@@ -112,18 +111,18 @@ def grid_side(area_totals: DataFrame) -> DataFrame:
 
 
 def spatial_grid(area_totals: DataFrame, side: int | None = None) -> DataFrame:
-    """Row-major square grid from id 1: absent cells hold 0, other ids are dropped."""
-    if side is None:
-        area_totals = materialize(area_totals)
-        side = grid_side(area_totals).first()["side"]
-    if side is None or side < 1:
+    """Row-major square grid from id 1: absent cells hold 0, other ids are dropped. Without totals and ``side`` the grid is empty.
+
+    A side that is not given is an aggregate of the same plan; nothing is computed while planning. Grid rows are generated first and
+    spread, so a large grid's cells come from many tasks.
+    """
+    if side is not None and side < 1:
         raise ValueError("a grid has a positive side")
-    cells = area_totals.sparkSession.range(1, side * side + 1).select(F.col("id").cast("int").alias("area_id"))
+    spark = area_totals.sparkSession
+    extent = grid_side(area_totals) if side is None else spark.range(1).select(F.lit(side).alias("side"))
+    rows = extent.where("side >= 1").select("side", F.explode(F.sequence(F.lit(0), F.col("side") - 1)).alias("grid_row"))
+    cells = rows.repartition("grid_row").select("side", "grid_row", F.explode(F.sequence(F.lit(0), F.col("side") - 1)).alias("grid_col"))
+    cells = cells.withColumn("area_id", F.col("grid_row") * F.col("side") + F.col("grid_col") + 1)
     total = F.coalesce("total_traffic", F.lit(0.0))
     return cells.join(area_totals, "area_id", "left").select(
-        "area_id",
-        F.floor((F.col("area_id") - 1) / F.lit(side)).cast("int").alias("grid_row"),
-        ((F.col("area_id") - 1) % F.lit(side)).cast("int").alias("grid_col"),
-        total.alias("total"),
-        F.log1p(total).alias("log1p_total"),
-    )
+        "area_id", "grid_row", "grid_col", total.alias("total"), F.log1p(total).alias("log1p_total"))

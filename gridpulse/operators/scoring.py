@@ -72,6 +72,11 @@ def side_by_side(predictions: DataFrame, models: Sequence[str]) -> DataFrame:
     ])
 
 
+def error_order(column: str = "val_RMSE", *ties: str) -> list[Column]:
+    """Sort keys: best first; failed candidates (NaN or NULL) last."""
+    return [F.col(column).asc_nulls_last(), *[F.col(tie).asc() for tie in ties]]
+
+
 def ranked_by_error(table: DataFrame, column: str = "val_RMSE", *ties: str) -> DataFrame:
     """Best first; failed candidates (NaN or NULL) last."""
-    return table.orderBy(F.col(column).asc_nulls_last(), *ties)
+    return table.orderBy(*error_order(column, *ties))

@@ -17,7 +17,7 @@ from gridpulse.plans.oracle_views import (
 from gridpulse.plans.registry import query
 from gridpulse.session import scratch_path
 from gridpulse.sources import raw, tables
-from gridpulse.streaming.ingest import ingest_new_files, read_ingested
+from gridpulse.streaming.ingest import compact, ingest_new_files, read_ingested
 
 FIXED = (3, 99_999_999)  # the second id is never present, so a substitute is drawn
 SAMPLE_AREAS = (3, 20, 61)
@@ -124,6 +124,16 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(read_ingested(spark, store))
 
 
+@query(f"SELECT area_id, ts, round(sum(value), 6) AS value FROM ({BY_USER}) GROUP BY area_id, ts")
+def ingest_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through many small batches, merged and read from the merged table."""
+    folder, store, checkpoint = views.raw_folder(spark, sf), scratch_path(spark, "ingested"), scratch_path(spark, "ingest-checkpoint")
+    parts = max(1, raw.discover(spark, folder).count() // 5)
+    ingest_new_files(spark, folder, store, checkpoint, 1, "folder", files_per_batch=parts)
+    compact(spark, store, checkpoint)
+    return _shown(read_ingested(spark, store))
+
+
 # --- sinks and stored tables -------------------------------------------------------------------
 
 @query(f"{USER_DENSE} SELECT area_id, ts, round(CAST(CAST(round(value, 2) AS FLOAT) AS DOUBLE), 3) AS value FROM dense")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridpulse.operators import arma, scoring, temporal
 from gridpulse.operators.preparation import Split
 from gridpulse.session import materialize
-from gridpulse.sources import tables
+from gridpulse.sources import manifest, tables
 
 SARIMA = "SARIMA"
 
@@ -58,11 +60,43 @@ def forecast_run(series: DataFrame, split: Split, order: arma.Order = (2, 0, 2),
     )
 
 
-def store_run(run: Run, path: str) -> None:
-    """The result files of a run: predictions side by side, metrics, timing in detail and summed up, metric summary."""
+TABLES = ("predictions", "metrics", "timing", "timing_summary", "metric_summary")
+
+
+def store_run(run: Run, path: str) -> str:
+    """The result files of a run: predictions side by side, metrics, timing in detail and summed up, metric summary. Returns its name.
+
+    Every table of a run lies in ``<table>/run=<name>``. The run counts from the instant its manifest appears, after the last table, so a driver
+    lost in between leaves the run before it whole. Runs older than that one are removed.
+    """
+    spark, name = run.metrics.sparkSession, uuid.uuid4().hex
     models = sorted(r["model"] for r in run.metric_summary.select("model").collect())  # one row per model
-    tables.write_log(scoring.side_by_side(run.predictions, models), f"{path}/predictions")
-    tables.write_log(run.metrics, f"{path}/metrics")
-    tables.write_log(run.timing, f"{path}/timing")
-    tables.write_log(run.timing_summary, f"{path}/timing_summary")
-    tables.write_log(run.metric_summary, f"{path}/metric_summary")
+    before = manifest.latest(spark, path)
+    for table in TABLES:
+        frame = scoring.side_by_side(run.predictions, models) if table == "predictions" else getattr(run, table)
+        tables.write_log(frame, f"{path}/{table}/run={name}")
+    manifest.publish(spark, path, before["version"] + 1 if before else 0, {"run": name, "before": before["run"] if before else None})
+    kept = {f"run={name}", f"run={before['run']}" if before else None}
+    for table in TABLES:
+        for other in set(manifest.children(spark, f"{path}/{table}")) - kept:
+            manifest.remove(spark, f"{path}/{table}/{other}")
+    return name
+
+
+def read_run(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
+    """One table of the newest whole run."""
+    now = manifest.latest(spark, path)
+    if now is None:
+        raise FileNotFoundError(f"{path} holds no finished run")
+    return tables.read_report(spark, f"{path}/{table}/run={now['run']}", schema)
+
+
+def sample_run(spark: SparkSession, path: str, fixed: Sequence[int], split: Split, order: arma.Order = (2, 0, 2), period: int = 144,
+               lags: dict[str, int] | None = None) -> DataFrame:
+    """The run from a small stored sample of area series instead of the whole matrix: metrics per label, area and model.
+
+    An area that carries two labels is fitted once.
+    """
+    labelled = materialize(tables.read_sample(spark, path, fixed))
+    run = forecast_run(labelled.select("area_id", "ts", "value").distinct(), split, order, period, lags)
+    return labelled.select("label", "area_id").distinct().join(run.metrics, "area_id").select("label", *run.metrics.columns)

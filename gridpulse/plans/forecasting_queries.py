@@ -9,7 +9,7 @@ from gridpulse.operators import arma, experiments, preparation, scoring, tempora
 from gridpulse.plans import views
 from gridpulse.plans.consolidation_queries import supplier_series, target_ids, type_series, user_series
 from gridpulse.plans.exploration_queries import _rounded
-from gridpulse.plans.forecast import Run, forecast_run, naive_predictions, store_run
+from gridpulse.plans.forecast import Run, forecast_run, naive_predictions, read_run, store_run
 from gridpulse.plans.oracle_views import BEFORE_TEST, BY_TYPE, IN_TEST, TYPE_DENSE, USER_DENSE
 from gridpulse.plans.registry import query
 from gridpulse.session import materialize, scratch_path
@@ -346,9 +346,8 @@ def forecast_run_stored_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Metric and timing summaries as stored by the run and read back; the seconds themselves are left out."""
     path = scratch_path(spark, "run")
     store_run(_run(spark, sf), path)
-    means = tables.read_report(spark, f"{path}/metric_summary", "model string, MAE double, RMSE double, MAPE double, failed long")
-    timing = tables.read_report(
-        spark, f"{path}/timing_summary", "model string, train_time_s double, predict_time_s double, measured_over string")
+    means = read_run(spark, path, "metric_summary", "model string, MAE double, RMSE double, MAPE double, failed long")
+    timing = read_run(spark, path, "timing_summary", "model string, train_time_s double, predict_time_s double, measured_over string")
     return _rounded(means, "MAE", "RMSE", "MAPE", digits=2).join(timing.select("model", "measured_over"), "model", "left")
 
 
@@ -361,7 +360,7 @@ def forecast_run_stored_predictions(spark: SparkSession, sf: str) -> DataFrame:
     store_run(_run(spark, sf), path)
     columns = [f"{m}_{c}" for m in sorted(_MODELS) for c in ("y_true", "y_pred")]
     kinds = ", ".join(f"{c} double" for c in columns)
-    return _rounded(tables.read_report(spark, f"{path}/predictions", f"area_id int, ts timestamp_ntz, {kinds}"), *columns, digits=4)
+    return _rounded(read_run(spark, path, "predictions", f"area_id int, ts timestamp_ntz, {kinds}"), *columns, digits=4)
 
 
 @query()
