@@ -120,19 +120,23 @@ def broadcast_ids(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+# A key with more than one in so many of all rows is hot: its rows are split into pieces of about that share.
 HOT_KEYS = 1000
 
 
 def join_unique(rows: DataFrame, unique: DataFrame, keys: list[str], counts: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``unique`` (one row per key, small rows) so that no key lands in one task.
+    """``rows`` joined with ``unique`` (a row per key, or a bounded number) so that no key is the work of one task.
 
-    ``counts`` has the number of ``rows`` per key (``keys, rows_of_key``; a superset of the keys is fine). Keys with more than a
-    thousandth of all rows, of which there are fewer than ``HOT_KEYS``, are matched where their rows lie, with a broadcast of these
-    keys' rows alone; all others meet by a shuffle. Keys must not be null. ``unique`` and ``counts`` should be stored: they are read twice.
+    ``counts`` has the number of ``rows`` per key (``keys, rows_of_key``; more keys are fine). The rows of a hot key are dealt to as many
+    pieces as it has thousandths of all rows, by a hash of their columns, and its rows in ``unique`` are copied for each piece. At most ``HOT_KEYS``
+    keys are hot and they have fewer than twice as many pieces, which bounds what is broadcast and copied. Keys must not be null;
+    ``counts`` should be stored.
     """
     total = counts.agg(F.sum("rows_of_key")).first()[0] or 0
-    hot = counts.filter(F.col("rows_of_key") * HOT_KEYS > F.lit(total)).select(*keys)
-    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
-    few = F.broadcast(unique.join(F.broadcast(hot), keys, "left_semi"))
-    there = marked.filter("_hot").drop("_hot").join(few, keys, how)
-    return there.unionByName(marked.filter("_hot IS NULL").drop("_hot").join(unique, keys, how))
+    hot = F.broadcast(counts.filter(F.col("rows_of_key") * HOT_KEYS > F.lit(total)).select(
+        *keys, F.ceil(F.col("rows_of_key") * HOT_KEYS / F.lit(max(total, 1))).cast("int").alias("_pieces")))
+    piece = F.when(F.col("_pieces").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.col("_pieces")).cast("int")).otherwise(F.lit(0))
+    dealt = rows.join(hot, keys, "left").withColumn("_piece", piece).drop("_pieces")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
+    copied = unique.join(hot, keys, "left").withColumn("_piece", copies).drop("_pieces")
+    return dealt.join(copied, [*keys, "_piece"], how).drop("_piece")

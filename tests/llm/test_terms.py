@@ -78,7 +78,7 @@ def test_variants_equal_brute_force(spark):
         return stem[:at] + (rng.choice(letters) if kind == 2 else "") + stem[at + 1:]
 
     rows = [(i, " ".join(mutated(rng.choice(stems)) for _ in range(60)).upper() if i % 9 == 0 else
-             ". ".join(mutated(rng.choice(stems)) for _ in range(60))) for i in range(60)]
+             ". ".join(mutated(rng.choice(stems)) for _ in range(60))) for i in range(200)]
     rows += [(None, None), (None, " ".join(stems * 3)), (3, ""), (4, None), rows[5], rows[5]]
     got = variants(spark, rows)
     assert got == brute_variants(rows) and sum(v[3] for v in got.values()) > 100 and any(v[0] for v in got.values())
