@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gridpulse.functions.scalars import order_text
 from gridpulse.operators import arma, scoring
@@ -73,3 +73,22 @@ def ar_order_search(series: DataFrame, split: Split, orders: Sequence[int] = AR_
         "area_id", "order", F.lit(f"(0, {seasonal_diff}, 0, {period})").alias("seasonal_order"), F.col("aic").alias("AIC"), F.col("bic").alias("BIC"),
         F.col("MAE").alias("test_MAE"), F.col("RMSE").alias("test_RMSE"), F.col("MAPE").alias("test_MAPE"))
     return scoring.ranked_by_error(table, "AIC", "area_id", "order")
+
+
+def ar_validation_search(series: DataFrame, split: Split, orders: Sequence[int] = AR_ORDERS, period: int = 144, seasonal_diff: int = 1,
+                         val_fraction: float = 0.15) -> DataFrame:
+    """The same candidates ranked by their error on the validation rows, the last ``val_fraction`` of the training rows; the test week plays no part.
+
+    Candidates are fitted on the rows before the validation rows and predict those one step ahead. Columns ``val_MAE, val_RMSE, val_MAPE``.
+    """
+    if not 0 < val_fraction < 1:
+        raise ValueError("val_fraction lies between 0 and 1")
+    pool = arma.with_lags(series, split, max(orders), period, seasonal_diff).where(~F.col("is_test"))
+    n = F.count("*").over(Window.partitionBy("area_id"))
+    place = F.row_number().over(Window.partitionBy("area_id").orderBy("place"))
+    rows = materialize(pool.withColumn("is_test", place > n - F.greatest(F.lit(1), F.bround(n * F.lit(val_fraction), 0))))
+    fits = materialize(arma.ar_fits(rows, orders))
+    scores = scoring.evaluate(arma.ar_predictions(rows, fits, seasonal_diff), "area_id", "order")
+    return scoring.ranked_by_error(scores.select(
+        "area_id", "order", F.col("MAE").alias("val_MAE"), F.col("RMSE").alias("val_RMSE"), F.col("MAPE").alias("val_MAPE"), F.col("n").alias("n_val")),
+        "val_RMSE", "area_id", "order")

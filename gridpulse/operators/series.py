@@ -31,18 +31,25 @@ def rollup(records: DataFrame, *keys: str) -> DataFrame:
     return records.groupBy(*keys).agg(F.sum(no_activity_as_zero(F.col("value"))).alias("value"))
 
 
+# A time axis is numbered in one task. So many timestamps are seconds of four months, or ten-minute steps of two centuries.
+LONGEST_AXIS = 10_000_000
+
+
 def time_axis(records: DataFrame, study: tuple[str, str] | None = None, source: str | None = None) -> DataFrame:
     """Seen timestamps with their 1-based position ``slot``, materialised.
 
     The axis is as long as the calendar allows (8,784 rows for two months of 10-minute steps)
-    however many records there are, so numbering it in one task is safe. With ``source`` the first
+    however many records there are, so numbering it in one task is safe; stamps so fine that there are more than ``LONGEST_AXIS``
+    of them fail the job (put them in intervals first). With ``source`` the first
     file (by name) that has a timestamp is its ``owner``.
     """
     seen = records.where(F.col("ts").isNotNull())
     if study:
         seen = seen.where(within_dates(F.col("ts"), *study))
     axis = seen.groupBy("ts").agg(F.min(source).alias("owner")) if source else seen.select("ts").distinct()
-    return materialize(axis.withColumn("slot", F.row_number().over(Window.orderBy("ts"))))
+    place = F.row_number().over(Window.orderBy("ts"))
+    too_long = F.raise_error(F.lit(f"more than {LONGEST_AXIS} timestamps: put them in intervals first")).cast("int")
+    return materialize(axis.withColumn("slot", F.when(place <= LONGEST_AXIS, place).otherwise(too_long)))
 
 
 def dense_series(records: DataFrame, study: tuple[str, str] | None = None, source: str | None = None,

@@ -246,6 +246,12 @@ def autocorrelation(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(correlation.acf(type_series(spark, sf), views.PERIOD), "acf", "band")
 
 
+@query(f"{_acf_sql(USER_DENSE, 24)} {_BAND}")
+def autocorrelation_by_user(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for many areas."""
+    return _rounded(correlation.acf(user_series(spark, sf), views.PERIOD), "acf", "band")
+
+
 @query(f"{_acf_sql(TYPE_DENSE, 48)} {_BAND}")
 def autocorrelation_two_days(spark: SparkSession, sf: str) -> DataFrame:
     """Twice the season, as the published analysis has it: a grouped map over the power spectrum."""

@@ -9,7 +9,7 @@ from gridpulse.functions.scalars import rounded
 from gridpulse.operators import arma, decomposition, experiments, scoring, series, stationarity
 from gridpulse.operators.preparation import Split
 from gridpulse.plans import views
-from gridpulse.plans.consolidation_queries import FIXED, SAMPLE_AREAS, supplier_series, type_series, user_series
+from gridpulse.plans.consolidation_queries import _TARGETS, FIXED, SAMPLE_AREAS, supplier_series, target_ids, type_series, user_series
 from gridpulse.plans.exploration_queries import _rounded
 from gridpulse.plans.forecast import forecast_run, read_run, sample_run, store_run
 from gridpulse.plans.forecasting_queries import BEFORE, NAIVE_LAGS, OUTSIDE, _ar1_cte, _train
@@ -49,9 +49,14 @@ def sweep(name: str, products: str, keys: str, pivots: str) -> str:
 
 # --- order search ------------------------------------------------------------------------------
 
-def _search_sql(split: Split, tail: int | None = None) -> str:
+def _search_sql(split: Split, tail: int | None = None, val_fraction: float | None = None) -> str:
+    """The candidates ``r`` with their criteria; with ``val_fraction`` scored on the last training rows and not on the test week."""
+    lagged = f"""SELECT * EXCLUDE (test), row_number() OVER (PARTITION BY area_id ORDER BY place)
+  > count(*) OVER (PARTITION BY area_id) - greatest(1, round_even(count(*) OVER (PARTITION BY area_id) * {val_fraction}, 0)) AS test FROM b_ WHERE NOT test""" \
+        if val_fraction else "SELECT * FROM b_"
     return f"""{_differences(TYPE_DENSE, split, views.PERIOD, tail)},
-b AS (SELECT *, lag(diff, 1) OVER w AS l1, lag(diff, 2) OVER w AS l2, lag(diff, 3) OVER w AS l3 FROM d WINDOW w AS (PARTITION BY area_id ORDER BY place)),
+b_ AS (SELECT *, lag(diff, 1) OVER w AS l1, lag(diff, 2) OVER w AS l2, lag(diff, 3) OVER w AS l3 FROM d WINDOW w AS (PARTITION BY area_id ORDER BY place)),
+b AS ({lagged}),
 x AS (SELECT area_id, p, test, ts, value, lagged, CASE p WHEN 1 THEN [1, l1, diff] WHEN 2 THEN [1, l1, l2, diff] ELSE [1, l1, l2, l3, diff] END AS v
   FROM b CROSS JOIN (SELECT unnest([1, 2, 3]) AS p) WHERE CASE p WHEN 1 THEN l1 WHEN 2 THEN l2 ELSE l3 END IS NOT NULL),
 g AS (SELECT area_id, p, count(*) AS n, i, j, sum(v[i + 1] * v[j + 1]) AS a FROM x
@@ -61,10 +66,14 @@ fit AS (SELECT area_id, p, n, n <= 2 * (p + 2) + 10 AS failed, max(a) FILTER (i
   list(a ORDER BY i) FILTER (i <= p AND j = p + 1) AS c FROM sw WHERE step = p + 1 GROUP BY area_id, p, n),
 err AS (SELECT x.area_id, x.p, value AS y_true, greatest(list_inner_product(c, v[1:x.p + 1]) + lagged, 0) AS y_pred FROM x
   JOIN fit ON fit.area_id = x.area_id AND fit.p = x.p WHERE test),
-m AS (SELECT area_id, p, avg(abs(y_true - y_pred)) AS mae, sqrt(avg(pow(y_true - y_pred, 2))) AS rmse,
+m AS (SELECT area_id, p, count(*) AS scored, avg(abs(y_true - y_pred)) AS mae, sqrt(avg(pow(y_true - y_pred, 2))) AS rmse,
   avg(abs(y_true - y_pred) / greatest(abs(y_true), 1e-8)) * 100 AS mape FROM err GROUP BY area_id, p),
-r AS (SELECT fit.*, '(' || fit.p || ', 0, 0)' AS "order", n * (ln(2 * pi() * sse / n) + 1) AS deviance, mae, rmse, mape
-  FROM fit JOIN m ON m.area_id = fit.area_id AND m.p = fit.p)
+r AS (SELECT fit.*, '(' || fit.p || ', 0, 0)' AS "order", n * (ln(2 * pi() * sse / n) + 1) AS deviance, mae, rmse, mape, scored
+  FROM fit JOIN m ON m.area_id = fit.area_id AND m.p = fit.p)"""
+
+
+def _criteria_sql(split: Split, tail: int | None = None) -> str:
+    return f"""{_search_sql(split, tail)}
 SELECT area_id, "order", '(0, 1, 0, {views.PERIOD})' AS seasonal_order, CASE WHEN NOT failed THEN round(deviance + 2 * (p + 2), 4) END AS "AIC",
 CASE WHEN NOT failed THEN round(deviance + ln(n) * (p + 2), 4) END AS "BIC", CASE WHEN NOT failed THEN round(mae, 4) END AS "test_MAE",
 CASE WHEN NOT failed THEN round(rmse, 4) END AS "test_RMSE", CASE WHEN NOT failed THEN round(mape, 1) END AS "test_MAPE" """
@@ -84,7 +93,7 @@ def _ranked(table: DataFrame) -> DataFrame:
     return _shown(rank_rows(table, *scoring.error_order("AIC", "area_id", "order")).drop("n"))
 
 
-@query(_search_sql(BEFORE) + _RANK)
+@query(_criteria_sql(BEFORE) + _RANK)
 def ar_order_search(spark: SparkSession, sf: str) -> DataFrame:
     """Orders (1,0,0) to (3,0,0) on every area, with their rank by AIC."""
     return _ranked(experiments.ar_order_search(type_series(spark, sf), BEFORE, period=views.PERIOD))
@@ -94,13 +103,13 @@ def ar_order_search(spark: SparkSession, sf: str) -> DataFrame:
 SHORT_TAIL = views.PERIOD + 20
 
 
-@query(_search_sql(BEFORE, SHORT_TAIL) + _RANK)
+@query(_criteria_sql(BEFORE, SHORT_TAIL) + _RANK)
 def ar_order_search_short(spark: SparkSession, sf: str) -> DataFrame:
     """The search on the last rows before the test week: candidates that fail rank last."""
     return _ranked(experiments.ar_order_search(type_series(spark, sf), BEFORE, period=views.PERIOD, tail_rows=SHORT_TAIL))
 
 
-@query(_search_sql(OUTSIDE) + " FROM r")
+@query(_criteria_sql(OUTSIDE) + " FROM r")
 def ar_experiment_log(spark: SparkSession, sf: str) -> DataFrame:
     """The order search across the seam, written as a CSV log, read back and ranked again."""
     path = scratch_path(spark, "experiments")
@@ -109,6 +118,14 @@ def ar_experiment_log(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(scoring.ranked_by_error(tables.read_report(spark, path, table.schema), "AIC", "area_id", "order"))
 
 
+@query(f"""{_search_sql(BEFORE, val_fraction=0.15)} SELECT area_id, "order", round(mae, 4) AS "val_MAE", round(rmse, 4) AS "val_RMSE", scored AS n_val,
+row_number() OVER (ORDER BY rmse, area_id, "order") - 1 AS rank FROM r""")
+def ar_validation_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The candidates fitted before the validation rows and ranked by their error there."""
+    table = experiments.ar_validation_search(type_series(spark, sf), BEFORE, period=views.PERIOD).drop("val_MAPE")
+    return _rounded(rank_rows(table, *scoring.error_order("val_RMSE", "area_id", "order")).drop("n"), "val_MAE", "val_RMSE", digits=4)
+
+
 # --- ARMA with given parameters ----------------------------------------------------------------
 
 GIVEN = {"intercept": 1.5, "ar": [0.55], "ma": [0.3]}
@@ -289,6 +306,22 @@ def sample_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_rounded(scored.select("label", "area_id", "model", "MAE", "RMSE", "sMAPE", "n"), "MAE", "RMSE", digits=5), "sMAPE", digits=4)
 
 
+_TARGET_DENSE = f"""{USER_DENSE.replace("dense AS (", "all_cells AS (", 1)}, {_TARGETS.replace("FROM dense", "FROM all_cells")},
+dense AS (SELECT * FROM all_cells WHERE area_id IN (SELECT area_id FROM targets))"""
+
+
+@query(f"""{_ar1_cte(BEFORE).replace(TYPE_DENSE, _TARGET_DENSE)}, naive AS (SELECT area_id, ts, value AS y_true, {_SAMPLE_LAGS} FROM dense),
+pred AS (SELECT p.area_id, 'SARIMA' AS model, value AS y_true, greatest(intercept + slope * previous + lagged, 0) AS y_pred
+  FROM p JOIN fit ON fit.area_id = p.area_id WHERE test
+  {" ".join(f"UNION ALL SELECT area_id, '{n}', y_true, {n} FROM naive WHERE {IN_TEST}" for n in NAIVE_LAGS)}),
+each AS (SELECT area_id, model, avg(abs(y_true - y_pred)) AS mae, sqrt(avg(pow(y_true - y_pred, 2))) AS rmse FROM pred GROUP BY area_id, model)
+SELECT model, round(avg(mae), 3) AS "MAE", round(avg(rmse), 3) AS "RMSE", 0::BIGINT AS failed FROM each GROUP BY model""")
+def forecast_targets_ar1_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The busiest and the two fixed areas: mean error per model over them, with order (1,0,0)."""
+    chosen = user_series(spark, sf).join(F.broadcast(target_ids(spark, sf).select("area_id").distinct()), "area_id", "left_semi")
+    return forecast_run(materialize(chosen), BEFORE, (1, 0, 0), views.PERIOD, NAIVE_LAGS).metric_summary.drop("MAPE")
+
+
 @query(f"""{TYPE_DENSE}, a AS (SELECT count(DISTINCT area_id) AS n FROM dense)
 SELECT 'SARIMA' AS model, n AS timed, true AS all_measured, true AS mean_is_mean, 'mean of ' || n || ' areas' AS measured_over FROM a""")
 def forecast_run_timing(spark: SparkSession, sf: str) -> DataFrame:

@@ -79,8 +79,7 @@ def raw_folder(spark: SparkSession, folder: str) -> str:
             *[F.lit("")] * 4,
             F.col("value").cast("string"),
         ]
-        stamped.select(F.concat_ws("\t", *fields).alias("line"), F.to_date("utc").alias("day")).write.partitionBy(
-            "day"
-        ).text(path)
+        lines = stamped.select(F.concat_ws("\t", *fields).alias("line"), F.to_date("utc").alias("day"))
+        lines.hint("rebalance", "day").write.partitionBy("day").text(path)  # files by size, not one per task and day
         _raw_folders[key] = path
     return _raw_folders[key]

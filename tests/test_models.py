@@ -83,6 +83,16 @@ def test_search_keeps_times_apart(daily):
     assert search.ranked.count() == search.times.count() == 2
 
 
+def test_validation_search_leaves_the_test_week_alone(daily):
+    x = noisy(1)
+    changed = x.copy()
+    changed[240:] += 1000
+    tables_ = [experiments.ar_validation_search(daily({1: v, 2: noisy(2)}, step=HOUR), SPLIT, period=24).collect() for v in (x, changed)]
+    assert tables_[0] == tables_[1] and [r.val_RMSE for r in tables_[0]] == sorted(r.val_RMSE for r in tables_[0]) and {r.n_val for r in tables_[0]} == {32}
+    with pytest.raises(ValueError):
+        experiments.ar_validation_search(daily({1: x}, step=HOUR), SPLIT, val_fraction=1.5)
+
+
 # --- given parameters --------------------------------------------------------------------------
 
 def test_fold_equals_the_recursion(daily, spark):
