@@ -13,9 +13,11 @@ space, as pieces have spaces in front only.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +26,11 @@ from pyspark.sql import DataFrame
 from gridpulse.session import ship_package
 
 SPACE = "▁"
-CACHED_WORDS = 500_000
+# Segments that a worker remembers, in two generations: the older one goes when the younger one is full.
+CACHED_SEGMENTS = 400_000
 CACHED_PAIRS = 1_000_000
 LONGEST_CACHED = 64
-TAIL = 3
+TAIL = 4
 COLUMNS = "doc_id long, n_ids long, n_byte_ids long, ids_crc32 long, round_trip boolean"
 
 
@@ -109,6 +112,29 @@ class Pieces:
                 j += 1
 
 
+    def only_path(self, text: str) -> list[int]:
+        """The ids of a segment of characters with pieces, where merging leaves one path: per place the longest piece that may end there."""
+        usable, pairs, sizes, short, known = self.usable, self.pairs, self.sizes, self.short_sizes, self.scores
+        last: list[str | None] = [""]
+        for end in range(1, len(text) + 1):
+            found = None
+            for size in sizes.get(text[end - TAIL:end], short) if end >= TAIL else short:
+                if size <= end and (piece := text[end - size:end]) in usable and (left := last[end - size]) is not None:
+                    if left:
+                        legal = pairs.get((left, piece))
+                        if not (self.neighbours(left, piece) if legal is None else legal):
+                            continue
+                    found = piece
+                    break
+            last.append(found)
+        ids, end = [], len(text)
+        while end:
+            piece = last[end]
+            ids.append(known[piece][0])
+            end -= len(piece)
+        return ids[::-1]
+
+
 BYTE_PAIR = 2
 
 
@@ -242,47 +268,68 @@ class StreamingEncoder:
         return ids
 
 
-class _Words(dict):
-    """Ids of words as little-endian unsigned 32-bit integers."""
+class _Segments(dict):
+    """Ids of segments as little-endian unsigned 32-bit integers. A segment ends where all surviving paths converge, so its ids never depend
+    on what stands around it and are remembered."""
 
     def __init__(self, pieces: Pieces, prefix: str):
         super().__init__()
-        self.pieces, self.prefix = pieces, prefix
-
-    def __missing__(self, word: str) -> bytes:
-        encoder = StreamingEncoder(self.pieces)
-        ids = np.asarray(encoder.feed(self.prefix + word) + encoder.finish(), "<u4").tobytes()
-        if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_WORDS:
+        self.pieces, self.prefix, self.older = pieces, prefix, {}
+
+    def __missing__(self, segment: str) -> bytes:
+        ids = self.older.get(segment)
+        if ids is None:
+            ids = self._searched(self.prefix + segment)
+        if len(segment) <= LONGEST_CACHED:
+            if len(self) >= CACHED_SEGMENTS:
+                self.older = dict(self)
                 self.clear()
-            self[word] = ids
+            self[segment] = ids
         return ids
 
+    def _searched(self, text: str) -> bytes:
+        pieces = self.pieces
+        if pieces.merging and len(text) <= LONGEST_CACHED and pieces.chars.issuperset(text) and SPACE not in text.lstrip(SPACE):
+            ids = pieces.only_path(text)
+        else:
+            encoder = StreamingEncoder(pieces)
+            ids = encoder.feed(text) + encoder.finish()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
 class Codec:
     """Texts to ids and back: a space before the text, spaces as ``SPACE``, no other change to it."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.first, self.spaced = _Words(pieces, ""), _Words(pieces, SPACE)
+        self.first, self.spaced = _Segments(pieces, ""), _Segments(pieces, SPACE)
         self.breaks = "\n" not in pieces.chars  # a line break is bytes then, where all paths converge
         self.line_break = np.asarray(pieces.fallback("\n"), "<u4").tobytes()
         self.parts = {i: p.replace(SPACE, " ").encode("utf-8") for p, (i, _) in pieces.scores.items()}
         self.parts |= {i: bytes([b]) for b, i in enumerate(pieces.byte_ids) if i}
         self.is_byte = frozenset(i for i in pieces.byte_ids if i)
 
+    def commits(self, text: str) -> Iterator[bytes]:
+        """The ids of a text as they become certain: a commit wherever all surviving paths have converged.
+
+        That is before each space that follows something else (pieces have spaces in front only) and at each line break without a piece. A segment
+        between two such places that is longer than the window is committed in parts too, see :class:`StreamingEncoder`.
+        """
+        if text:
+            for k, line in enumerate((" " + text).split("\n") if self.breaks else [" " + text]):
+                if k:
+                    yield self.line_break
+                yield from self._line(line)
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        lines = (" " + text).split("\n") if self.breaks else [" " + text]
-        return self.line_break.join(map(self._line, lines))
-
-    def _line(self, line: str) -> bytes:
-        if "  " in line or line.endswith(" ") or SPACE in line:  # words with several spaces before them
-            runs = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", line.replace(" ", SPACE))
-            return b"".join(map(self.first.__getitem__, runs))
+        return b"".join(self.commits(text))
+
+    def _line(self, line: str) -> Iterator[bytes]:
+        if "  " in line or line.endswith(" ") or SPACE in line:  # segments with several spaces before them
+            return map(self.first.__getitem__, re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", line.replace(" ", SPACE)))
         head, *rest = line.split(" ")
-        return (self.first[head] if head else b"") + b"".join(map(self.spaced.__getitem__, rest))
+        spaced = map(self.spaced.__getitem__, rest)
+        return chain((self.first[head],), spaced) if head else spaced
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
