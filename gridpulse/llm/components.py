@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.llm.common import stored
+from gridpulse.llm.common import join_unique, stored
 
 MAX_ROUNDS = 60
 
 
 def _star(pairs: DataFrame, include_self: bool) -> DataFrame:
-    """Every ``(node, other)`` with the smallest id that the node sees."""
+    """Every ``(node, other)`` with the smallest id that the node sees. The node of a large star is dealt to several tasks."""
     least = F.least("node", F.min("other")) if include_self else F.min("other")
-    return pairs.join(pairs.groupBy("node").agg(least.alias("low")), "node")
+    lows = stored(pairs.groupBy("node").agg(least.alias("low"), F.count("*").alias("rows_of_key")), "lows")
+    return join_unique(pairs, lows.select("node", "low"), ["node"], lows.select("node", "rows_of_key"))
 
 
 def components(edges: DataFrame) -> DataFrame:
