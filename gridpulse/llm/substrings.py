@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.llm.common import rolling_hashes, signed, stored, word_hashes, words
+from gridpulse.llm.common import mixed, rolling_hashes, signed, stored, word_hashes, words
 from gridpulse.session import ship_package
 
 WINDOW_WORDS = 35
@@ -45,9 +45,19 @@ def window_anchors(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.nda
     return runs, np.concatenate(out)
 
 
+def text_keys(tokens: list[bytes]) -> tuple[int, int]:
+    """Two 64-bit keys of a sequence of words, as Spark's longs: one to join by, one that tells apart what shares the first."""
+    text = b" ".join(tokens)
+    return tuple(int(k) for k in signed(np.asarray([xxhash.xxh3_64_intdigest(text, seed) for seed in (7, 8)], np.uint64)))
+
+
 def text_key(tokens: list[bytes]) -> int:
-    """A 64-bit key of a sequence of words, as Spark's long."""
-    return int(signed(np.asarray([xxhash.xxh3_64_intdigest(b" ".join(tokens), 7)], np.uint64))[0])
+    return text_keys(tokens)[0]
+
+
+def window_hashes(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two Rabin-Karp hashes of every window, over differently mixed words and with different bases: 128 bits in all."""
+    return rolling_hashes(hashes, window), rolling_hashes(mixed(hashes ^ np.uint64(0xD1B54A32D192ED03)), window, 0xC2B2AE3D27D4EB4F)
 
 
 def covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
@@ -96,35 +106,37 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame, window: int) -> DataFrame:
-    """``key, text`` of the texts that have a window."""
+    """``key, other, text`` of the texts that have a window."""
 
     def rows(part):
-        own = [(text_key(tokens), t) for t in part["text"] if len(tokens := words(t)) >= window]
-        return [k for k, _ in own], [t for _, t in own]
+        own = [(*text_keys(tokens), t) for t in part["text"] if len(tokens := words(t)) >= window]
+        return [list(c) for c in zip(*own)] if own else [[], [], []]
 
-    return _stage(docs.select("text"), [("key", pa.int64()), ("text", pa.string())], "key long, text string", rows)
+    return _stage(docs.select("text"), [("key", pa.int64()), ("other", pa.int64()), ("text", pa.string())], "key long, other long, text string", rows)
 
 
 def candidate_windows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``hash, key, start, weight`` of the windows whose anchor repeats; of texts with copies only for the count (``start`` null), and one
-    row with ``start`` -1 that stands for all their words."""
+    """``hash, other, key, start, weight`` of the windows whose anchor repeats; of texts with copies only for the count (``start`` null), and
+    one row with ``start`` -1 that stands for all their words."""
 
     def rows(part):
-        hashes, keys, starts, weights = [], [], [], []
+        hashes, others, keys, starts, weights = [], [], [], [], []
         for key, text, copies, places in zip(part["key"], part["text"], part["copies"], part["places"]):
             h = word_hashes(words(text))
             at = np.flatnonzero(np.isin(window_anchors(h, window, anchor)[1], np.asarray(places)))
-            hashes.append(pa.array(signed(rolling_hashes(h, window)[at])))
+            for out, values in zip((hashes, others), window_hashes(h, window)):
+                out.append(pa.array(signed(values[at])))
             starts.append(pa.array(at.astype(np.int32), mask=np.full(len(at), copies > 1)))
             if copies > 1:
                 hashes.append(pa.nulls(1, pa.int64()))
+                others.append(pa.nulls(1, pa.int64()))
                 starts.append(pa.array([WHOLE], pa.int32()))
             keys.append(np.full(len(at) + (copies > 1), key, np.int64))
             weights.append(np.full(len(at) + (copies > 1), min(copies, 2), np.int32))
-        return pa.concat_arrays(hashes), _joined(keys, np.int64), pa.concat_arrays(starts), _joined(weights, np.int32)
+        return pa.concat_arrays(hashes), pa.concat_arrays(others), _joined(keys, np.int64), pa.concat_arrays(starts), _joined(weights, np.int32)
 
-    kinds = [("hash", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("weight", pa.int32())]
-    return _stage(texts, kinds, "hash long, key long, start int, weight int", rows)
+    kinds = [("hash", pa.int64()), ("other", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("weight", pa.int32())]
+    return _stage(texts, kinds, "hash long, other long, key long, start int, weight int", rows)
 
 
 def without(docs: DataFrame, repeats: DataFrame, window: int) -> DataFrame:
@@ -173,7 +185,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
     3. Repeated windows go back to their texts, merge into maximal intervals, and the words in them are removed.
 
     Null, empty and short texts (fewer words than a window) lose nothing. Repeated rows are copies of each other. An empty table gives no
-    rows. Ids may be null or repeated: texts are known by their words. Columns beside ``doc_id`` and ``text`` play no part.
+    rows. Ids may be null or repeated: texts are known by their words. Texts of any length are read whole. Windows are told apart by 128 bits.
+    Columns beside ``doc_id`` and ``text`` play no part.
     """
     if not 0 < anchor < window:
         raise ValueError("an anchor is shorter than a window")
@@ -182,11 +195,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
     often = stored(places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors-often")
     candidates = places.join(often, "anchor", "left_semi").groupBy("key").agg(F.collect_set("place").alias("places"))
     candidates = stored(candidates, "candidates")
-    texts = keyed(docs, window).groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    # Different texts of one key (64 bits) would be taken for copies; they stop the job instead.
+    one_text = F.when(F.min("other") == F.max("other"), F.first("text")).otherwise(F.raise_error(F.lit("two texts share a key")))
+    texts = keyed(docs, window).groupBy("key").agg(one_text.alias("text"), F.count("*").alias("copies"))
     windows = stored(candidate_windows(texts.join(candidates, "key"), window, anchor), "windows")
     repeated = stored(
-        windows.filter("hash IS NOT NULL").groupBy("hash").agg(F.sum("weight").alias("n")).filter("n > 1").select("hash"), "windows-often")
-    starts = windows.filter("start >= 0").join(repeated, "hash", "left_semi").select("key", "start").unionByName(
+        windows.filter("hash IS NOT NULL").groupBy("hash", "other").agg(F.sum("weight").alias("n")).filter("n > 1").select("hash", "other"), "windows-often")
+    starts = windows.filter("start >= 0").join(repeated, ["hash", "other"], "left_semi").select("key", "start").unionByName(
         windows.filter(f"start = {WHOLE}").select("key", "start"))
     repeats = stored(starts.groupBy("key").agg(F.collect_list("start").alias("starts")), "repeats")
     return without(docs, repeats, window)
