@@ -109,14 +109,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`stored` returned. Nothing may read them any more, not even a plan that has yet to run."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 BROADCAST_IDS = 1_000_000
 
 
 def broadcast_ids(ids: DataFrame) -> DataFrame:
-    """``ids`` (one stored column of longs) for broadcast if there are at most ``BROADCAST_IDS`` of them, 8 MB; else for a plain join."""
+    """``ids`` (one stored column of longs) for broadcast if there are at most ``BROADCAST_IDS`` of them, 8 MB; else for a plain join.
+
+    Only the plan depends on their number; the result is the same.
+    """
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.llm.common import join_unique, stored
+from gridpulse.llm.common import discard, join_unique, stored
 
 MAX_ROUNDS = 60
 
 
-def _star(pairs: DataFrame, include_self: bool) -> DataFrame:
-    """Every ``(node, other)`` with the smallest id that the node sees. The node of a large star is dealt to several tasks."""
+def _star(pairs: DataFrame, include_self: bool) -> tuple[DataFrame, DataFrame]:
+    """Every ``(node, other)`` with the smallest id that the node sees, and the stored table behind it. The node of a large star is dealt
+    to several tasks."""
     least = F.least("node", F.min("other")) if include_self else F.min("other")
     lows = stored(pairs.groupBy("node").agg(least.alias("low"), F.count("*").alias("rows_of_key")), "lows")
-    return join_unique(pairs, lows.select("node", "low"), ["node"], lows.select("node", "rows_of_key"))
+    return join_unique(pairs, lows.select("node", "low"), ["node"], lows.select("node", "rows_of_key")), lows
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,12 +28,14 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         both = now.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
             now.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        large = _star(both, True).filter("other > node AND other <> low").select(F.col("other").alias("a"), F.col("low").alias("b")).distinct()
+        seen, lows = _star(both, True)
+        large = seen.filter("other > node AND other <> low").select(F.col("other").alias("a"), F.col("low").alias("b")).distinct()
         down = large.select(F.col("a").alias("node"), F.col("b").alias("other"))
-        small = _star(down, False)
-        now = stored(
+        small, lower = _star(down, False)
+        old, now = now, stored(
             small.filter("other <> low").select(F.col("other").alias("a"), F.col("low").alias("b")).unionByName(
                 small.select(F.col("node").alias("a"), F.col("low").alias("b"))).distinct(), "edges")
+        discard(old, lows, lower)
         after = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if after == before:
             break

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridpulse.llm.common import broadcast_ids, join_unique, rolling_hashes, signed, stored, word_hashes
+from gridpulse.llm.common import broadcast_ids, discard, join_unique, rolling_hashes, signed, stored, word_hashes
 from gridpulse.llm.components import components
 from gridpulse.session import ship_package
 
@@ -126,7 +126,9 @@ def repeated_members(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``grp, band, token, early, n`` of the listed members that n > 1 groups list, stored. Most members are listed once and go no further."""
     members = unpacked(groups.withColumn("band", size_band(percent=percent)))
     counts = stored(members.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "counts")
-    return stored(join_unique(members, counts, ["token"], counts.select("token", F.col("n").alias("rows_of_key"))), "repeated")
+    found = stored(join_unique(members, counts, ["token"], counts.select("token", F.col("n").alias("rows_of_key"))), "repeated")
+    discard(counts)
+    return found
 
 
 def probes(repeated: DataFrame, sizes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -145,8 +147,8 @@ def probes(repeated: DataFrame, sizes: DataFrame, percent: int = PERCENT) -> Dat
 
 
 def candidate_edges(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges ``a, b`` between groups so that all groups which can link are connected. A shingle that m groups list gives m edges or fewer, never
-    its pairs; counts combine before the shuffle."""
+    """Edges ``a, b`` between groups, stored, so that all groups which can link are connected. A shingle that m groups list gives m edges or
+    fewer, never its pairs; counts combine before the shuffle."""
     sizes = stored(groups.select("grp", "n_shingles", "trusted"), "sizes")
     repeated = repeated_members(groups, percent)
     asked = stored(probes(repeated, sizes, percent), "probes")
@@ -159,7 +161,9 @@ def candidate_edges(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.col("grp").alias("a"), F.col("low").alias("b"))
     following = lists.select("token", (F.col("band") - 1).alias("band"), F.col("low").alias("next"))
     across = lists.join(following, ["token", "band"]).select(F.col("low").alias("a"), F.col("next").alias("b"))
-    return starred.unionByName(across).distinct()
+    edges = stored(starred.unionByName(across).distinct(), "candidates")
+    discard(sizes, repeated, asked, posting, lists)
+    return edges
 
 
 def tiles(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
@@ -286,6 +290,7 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS) ->
     crowded = classes.groupBy("grp").count().filter("count > 1").select(F.col("grp").alias("node"), F.col("grp").alias("component"))
     blocks = stored(components(candidate_edges(groups, percent)).unionByName(crowded).groupBy("node").agg(
         F.min("component").alias("block")), "blocks")
+    discard(groups)
     inside = stored(classes.join(blocks, F.col("grp") == F.col("node")).select("block", "k1", "doc_id", "n_shingles", "copies"), "inside")
     dealt = stored(tiles(inside, percent), "tiles")
     wanted = stored(dealt.select("doc_id").distinct(), "wanted")

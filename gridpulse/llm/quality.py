@@ -108,8 +108,8 @@ def clean(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Measures, verdict and cleaned text of every row of ``docs``; the columns in ``keep`` are carried along.
 
     One map stage, no shuffle: a text is judged by itself and whole, so skew does not matter. Null texts count as empty, empty
-    texts fail the base rule; repeated rows each give a row; columns of ``docs`` that are not in ``keep`` play no part,
-    whatever their names. ``clean_text`` is the text without its failing lines (lines without words stay).
+    texts fail the base rule; repeated rows each give a row; an empty table gives none; texts of any length are judged whole; columns of
+    ``docs`` that are not in ``keep`` play no part, whatever their names. ``clean_text`` is the text without its failing lines (lines without words stay).
     """
     names = [c.split()[0] for c in COLUMNS.split(", ")]
     if clash := {*keep} & {"_text", *names}:

@@ -109,5 +109,5 @@ def op12_disclosure(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
-    """Every usable embedding on the first 32 components, whitened by the covariance of all."""
-    return whitening.whiten(table(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+    """Every usable embedding on the first 32 components, whitened by the covariance of all. A deviation beyond a long's range is null here."""
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))

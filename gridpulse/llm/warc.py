@@ -316,7 +316,8 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``ROWS`` of ``page_id, url, html``: of equal payloads of at least ``min_bytes``, that with the largest id is the response.
 
     The others revisit it and carry no payload. Null html is an empty payload. Rows that share id and payload are all responses; null ids
-    lose to others, and are responses where they are alone. Payloads are compared by SHA-1, as the format does.
+    lose to others, and are responses where they are alone. Payloads are compared by SHA-1, as the format does. An empty table gives no
+    records; a payload of any length is one record; columns beside these three play no part.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     known = pages.select("page_id", "url", F.encode(payload, "UTF-8").alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
