@@ -284,17 +284,6 @@ def partial_autocorrelation(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(correlation.pacf(type_series(spark, sf), 2 * views.PERIOD), "pacf", "band")
 
 
-@query()
-def adf_test(spark: SparkSession, sf: str) -> DataFrame:
-    return stationarity.adf_test(type_series(spark, sf))
-
-
-@query()
-def adf_test_suppliers(spark: SparkSession, sf: str) -> DataFrame:
-    """Thousands of days per area."""
-    return stationarity.adf_test(supplier_series(spark, sf))
-
-
 @query(f"""{SUPPLIER_DENSE}, p AS (SELECT area_id, lag(value) OVER w AS x, value - lag(value) OVER w AS y FROM dense
 WINDOW w AS (PARTITION BY area_id ORDER BY ts)),
 f AS (SELECT area_id, count(*) AS n_obs, regr_slope(y, x) AS b, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy

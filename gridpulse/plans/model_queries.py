@@ -219,12 +219,13 @@ def shown_adf(table: DataFrame) -> DataFrame:
 
 
 @query(adf_sql(TYPE_DENSE))
-def adf_chosen_lag(spark: SparkSession, sf: str) -> DataFrame:
+def adf_test(spark: SparkSession, sf: str) -> DataFrame:
+    """The lag order with the smallest AIC."""
     return shown_adf(stationarity.adf_test(type_series(spark, sf)))
 
 
 @query(adf_sql(SUPPLIER_DENSE))
-def adf_chosen_lag_suppliers(spark: SparkSession, sf: str) -> DataFrame:
+def adf_test_suppliers(spark: SparkSession, sf: str) -> DataFrame:
     """Every lag order on thousands of days per area."""
     return shown_adf(stationarity.adf_test(supplier_series(spark, sf)))
 
