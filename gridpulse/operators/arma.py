@@ -316,20 +316,30 @@ def ar_predictions(rows: DataFrame, fits: DataFrame, seasonal_diff: int = 1, mod
         F.when(F.col("failed"), F.lit(NOT_A_NUMBER)).otherwise(restored).alias("y_pred"))
 
 
+# Errors that one array grows by before the fold begins the next.
+FOLD_ROWS = 32
+
+
 def one_step_errors(rows: DataFrame, parameters: DataFrame) -> DataFrame:
     """``area_id, ts, place, is_test, value, lagged, diff, error``: innovations of an ARMA model with given parameters, without Python.
 
     ``rows`` as from :func:`with_lags` (any number of lags), ``parameters`` one row per area: ``area_id, intercept, ar, ma`` (arrays). An error
     is what the model, knowing all values and errors before, does not foresee; errors before the first foreseeable row count as 0. Errors
-    depend on one another in time order, so an area's rows become one ordered array (its length is set by the calendar) and a fold.
+    depend on one another in time order, so an area's rows become one ordered array (its length is set by the calendar) and a fold. The fold grows
+    an array of ``FOLD_ROWS`` errors at a time and hands on the latest ``len(ma)``, so that a step does not copy all errors before it.
     """
-    whole = rows.groupBy("area_id").agg(F.array_sort(F.collect_list(
+    whole = rows.groupBy("area_id").agg(F.sort_array(F.collect_list(
         F.struct("place", "ts", "is_test", "value", "lagged", "diff"))).alias("points"))
-    step = """aggregate(sequence(0, size(points) - 1), cast(array() as array<double>), (e, t) -> concat(e, array(if(t < size(ar), null,
-        points[t].diff - intercept
-        - aggregate(if(size(ar) > 0, sequence(1, size(ar)), array()), 0D, (s, i) -> s + ar[i - 1] * points[t - i].diff)
-        - aggregate(if(size(ma) > 0, sequence(1, size(ma)), array()), 0D, (s, j) -> s + if(t < j, 0D, ma[j - 1] * coalesce(e[t - j], 0D)))))))"""
-    known = whole.join(parameters, "area_id").withColumn("errors", F.expr(step))
+    step = """if(t < size(ar), null, x.w[t] - intercept
+        - aggregate(x.back, 0D, (s, i) -> s + ar[i - 1] * x.w[t - i])
+        - aggregate(x.behind, 0D, (s, j) -> s + if(t < j, 0D, ma[j - 1] * coalesce(e[size(e) - j], 0D))))"""
+    block = f"aggregate(sequence({FOLD_ROWS} * b, least({FOLD_ROWS} * (b + 1), size(x.w)) - 1), f.latest, (e, t) -> concat(e, array({step})))"
+    fold = f"""transform(array(named_struct('w', points.diff, 'back', if(size(ar) > 0, sequence(1, size(ar)), array()),
+            'behind', if(size(ma) > 0, sequence(1, size(ma)), array()))), x -> aggregate(sequence(0, (size(x.w) - 1) div {FOLD_ROWS}),
+        named_struct('blocks', cast(array() as array<array<double>>), 'latest', cast(array() as array<double>)),
+        (f, b) -> transform(array({block}), e -> named_struct('blocks', concat(f.blocks, array(slice(e, size(f.latest) + 1, {FOLD_ROWS}))),
+            'latest', slice(e, greatest(size(e) - size(ma), 0) + 1, size(ma))))[0], f -> flatten(f.blocks)))[0]"""
+    known = whole.join(parameters.hint("shuffle_hash"), "area_id").withColumn("errors", F.expr(fold))
     return known.select("area_id", F.inline(F.arrays_zip("points", "errors"))).select("area_id", "points.*", F.col("errors").alias("error")).select(
         "area_id", "ts", "place", "is_test", "value", "lagged", "diff", "error").where(F.col("error").isNotNull())
 

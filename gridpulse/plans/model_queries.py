@@ -133,9 +133,10 @@ GIVEN_DAILY = {"intercept": 12.0, "ar": [0.4, -0.2], "ma": [0.25, 0.1]}
 SUPPLIER_WEEK = Split("2001-06-04", "2001-06-10")
 
 
-def _parameters(dense: DataFrame, given: dict) -> DataFrame:
+def _parameters(records: DataFrame, given: dict) -> DataFrame:
+    """One row per area, from the records: their areas are those of the dense series, which need not be computed again."""
     doubles = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<double>")
-    return dense.select("area_id").distinct().select(
+    return records.select("area_id").distinct().select(
         "area_id", F.lit(given["intercept"]).alias("intercept"), doubles(given["ar"]).alias("ar"), doubles(given["ma"]).alias("ma"))
 
 
@@ -155,7 +156,7 @@ e(area_id, i, ts, test, value, lagged, error, w, u) AS (
 def arma_given_errors(spark: SparkSession, sf: str) -> DataFrame:
     """One-step errors of (1,0,1)(0,1,0) at given parameters."""
     dense = type_series(spark, sf)
-    errors = arma.one_step_errors(arma.with_lags(dense, BEFORE, 1, views.PERIOD), _parameters(dense, GIVEN))
+    errors = arma.one_step_errors(arma.with_lags(dense, BEFORE, 1, views.PERIOD), _parameters(views.by_type(spark, sf), GIVEN))
     return _rounded(errors.select("area_id", "ts", "error"), "error", digits=5)
 
 
@@ -166,7 +167,7 @@ _FORECAST = """ SELECT area_id, 'SARIMA' AS model, ts, round(value, 6) AS y_true
 def arma_given_forecast(spark: SparkSession, sf: str) -> DataFrame:
     """The test week under (1,0,1)(0,1,0) at given parameters, one step ahead, across the seam."""
     dense = type_series(spark, sf)
-    out = arma.given_predictions(dense, OUTSIDE, _parameters(dense, GIVEN), views.PERIOD)
+    out = arma.given_predictions(dense, OUTSIDE, _parameters(views.by_type(spark, sf), GIVEN), views.PERIOD)
     return _rounded(_rounded(out, "y_true"), "y_pred", digits=5)
 
 
@@ -174,7 +175,7 @@ def arma_given_forecast(spark: SparkSession, sf: str) -> DataFrame:
 def arma_given_by_supplier(spark: SparkSession, sf: str) -> DataFrame:
     """The same for (2,0,2)(0,1,0) on years of daily values."""
     dense = supplier_series(spark, sf)
-    out = arma.given_predictions(dense, SUPPLIER_WEEK, _parameters(dense, GIVEN_DAILY), 7)
+    out = arma.given_predictions(dense, SUPPLIER_WEEK, _parameters(views.by_supplier(spark, sf), GIVEN_DAILY), 7)
     return _rounded(_rounded(out, "y_true"), "y_pred", digits=5)
 
 

@@ -1,6 +1,7 @@
 """Closed-form searches, unit-root test, given ARMA parameters, selection by rank, stores and runs that change at one instant."""
 
 import math
+import time
 from datetime import timedelta
 
 import numpy as np
@@ -117,6 +118,19 @@ def test_fold_gives_the_fitted_predictions(daily):
     assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9, abs_tol=1e-9) for k in want)
 
 
+def test_fold_takes_linear_time(spark):
+    """A step that copies all errors before it takes minutes here."""
+    rows = spark.range(60_000).select(
+        F.lit(1).alias("area_id"), F.lit(None).cast("timestamp_ntz").alias("ts"), (F.col("id") + 1).alias("place"), F.lit(False).alias("is_test"),
+        F.lit(0.0).alias("value"), F.lit(0.0).alias("lagged"), F.sin("id").alias("diff"))
+    parameters = spark.createDataFrame([(1, 0.1, [0.4], [0.3, 0.1])], "area_id int, intercept double, ar array<double>, ma array<double>")
+    begin = time.perf_counter()
+    got = arma.one_step_errors(rows, parameters).agg(F.count("*"), F.sum("error")).first()
+    assert got[0] == 59_999 and time.perf_counter() - begin < 40
+    w = np.sin(np.arange(60_000))
+    assert math.isclose(got[1], arma.innovations(w, 0.1, np.array([0.4]), np.array([0.3, 0.1])).sum(), rel_tol=1e-9)
+
+
 # --- unit-root test ----------------------------------------------------------------------------
 
 def test_fixed_lags_and_short_series(daily):
