@@ -7,12 +7,15 @@ them and undoes the differencing.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from operator import mul
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from gridpulse.functions.scalars import clip_at_zero, order_text
 from gridpulse.operators import regression
@@ -41,36 +44,48 @@ class Fit(NamedTuple):
 
 
 def _invertible(ma: np.ndarray) -> bool:
-    return np.isfinite(ma).all() and bool(np.all(np.abs(np.roots([1.0, *ma])) < 1.0))
+    if not np.isfinite(ma).all():
+        return False
+    if len(ma) == 1:
+        return bool(abs(ma[0]) < 1.0)
+    if len(ma) == 2:  # the triangle in which both roots are inside the unit circle
+        return bool(abs(ma[1]) < 1.0 and abs(ma[0]) < 1.0 + ma[1])
+    return bool(np.all(np.abs(np.roots([1.0, *ma])) < 1.0))
 
 
-def _apply_inverse_ma(ma: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Every column filtered by 1 / (1 + ma B + ...), a block of rows at a time.
+@lru_cache(maxsize=8)
+def _places(size: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the entries of a block's matrix stand in ``size`` zeros and the response, and those of its carry in the padded weights."""
+    at = np.arange(size)
+    return np.subtract.outer(at, at) + size, np.add.outer(at, np.arange(q))
 
-    Within a block the filter is one triangular matrix; only the last few outputs pass from block to block.
+
+def _apply_inverse_ma(ma: np.ndarray, series: np.ndarray) -> np.ndarray:
+    """Every row of ``series`` filtered by 1 / (1 + ma B + ...), a block of its values at a time.
+
+    Within a block the filter is one triangular matrix; only the last few outputs pass from block to block, by doubling.
     """
-    q, (n, width) = len(ma), columns.shape
+    q, (width, n) = len(ma), series.shape
     if q == 0:
-        return columns
-    size = max(64, q)
-    weights, response = ma.tolist(), [1.0]
-    for k in range(1, size):
-        response.append(-sum(w * r for w, r in zip(weights, reversed(response))))
-    back = np.subtract.outer(np.arange(size), np.arange(size))
-    inside = np.where(back >= 0, np.array(response)[np.maximum(back, 0)], 0.0)
-    padded = np.concatenate([-ma, np.zeros(size + q)])
-    carry = inside @ padded[np.add.outer(np.arange(size), np.arange(q))]
+        return series
+    size = max(32, q)
+    weights, response = ma[::-1].tolist(), [0.0] * (q - 1) + [1.0]
+    for k in range(size - 1):
+        response.append(-sum(map(mul, weights, response[k:])))
+    diagonals, carried = _places(size, q)
+    inside = np.concatenate([np.zeros(size), response[q - 1:]])[diagonals]
+    carry = inside @ np.concatenate([-ma, np.zeros(size + q)])[carried]
     count = -(-n // size)
-    blocks = np.zeros((count * size, width))
-    blocks[:n] = columns
-    alone = inside @ blocks.reshape(count, size, width)
+    blocks = np.zeros((width, count * size))
+    blocks[:, :n] = series
+    out = (blocks.reshape(width * count, size) @ inside.T).reshape(width, count, size)
     last = size - 1 - np.arange(q)
-    ends, step = alone[:, last], carry[last]
-    states, state = np.empty((count, q, width)), np.zeros((q, width))
-    for block in range(count):
-        states[block] = state
-        state = ends[block] + step @ state
-    return (alone + carry @ states).reshape(-1, width)[:n]
+    ends, step, reach = out[:, :, last], carry[last].T, 1
+    while reach < count:
+        ends[:, reach:] += ends[:, :-reach] @ step
+        step, reach = step @ step, 2 * reach
+    out[:, 1:] += ends[:, :-1] @ carry.T
+    return out.reshape(width, count * size)[:, :n]
 
 
 def _lags(x: np.ndarray, count: int, start: int) -> np.ndarray:
@@ -81,7 +96,7 @@ def innovations(w: np.ndarray, intercept: float, ar: np.ndarray, ma: np.ndarray)
     """One-step-ahead errors from row ``len(ar)`` on, taking earlier errors as 0."""
     p = len(ar)
     gap = w[p:] - intercept - _lags(w, p, p) @ ar
-    return _apply_inverse_ma(ma, gap[:, None])[:, 0]
+    return _apply_inverse_ma(ma, gap[None])[0]
 
 
 def _start(w: np.ndarray, p: int, q: int) -> np.ndarray:
@@ -111,10 +126,14 @@ def fit_arma(w: np.ndarray, p: int, q: int, maxiter: int = 50) -> Fit:
     def split(b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         return b[0], b[1: 1 + p], b[1 + p:]
 
+    slopes = np.zeros((1 + p + q, len(w) - p))
+    slopes[0], slopes[1: 1 + p] = 1.0, _lags(w, p, p).T
+
     def loss(b: np.ndarray) -> tuple[float, np.ndarray | None]:
         if not _invertible(b[1 + p:]):
             return np.inf, None
-        e = innovations(w, *split(b))
+        gap = w[p:] - b[0] - b[1: 1 + p] @ slopes[1: 1 + p]
+        e = _apply_inverse_ma(b[1 + p:], gap[None])[0]
         return float(np.sum(e[burn - p:] ** 2)), e
 
     if not np.isfinite(beta).all():
@@ -122,10 +141,10 @@ def fit_arma(w: np.ndarray, p: int, q: int, maxiter: int = 50) -> Fit:
     best, errors = loss(beta)
     damping, converged = 1e-3, q == 0
     for _ in range(0 if q == 0 else maxiter):
-        padded = np.concatenate([np.zeros(q), errors])
-        slopes = np.column_stack([np.ones(len(errors)), _lags(w, p, p), _lags(padded, q, q)])
-        jac = _apply_inverse_ma(split(beta)[2], slopes)[burn - p:]
-        gram, pull = jac.T @ jac, jac.T @ errors[burn - p:]
+        for j in range(1, q + 1):
+            slopes[p + j, j:] = errors[:-j]
+        jac = _apply_inverse_ma(split(beta)[2], slopes)[:, burn - p:]
+        gram, pull = jac @ jac.T, jac @ errors[burn - p:]
         scale = np.diag(np.maximum(np.diag(gram), 1e-12))
         gain = 0.0
         while damping < 1e10:
@@ -168,7 +187,7 @@ def _with_history(series: DataFrame, split: Split, period: int, times: int, tail
 
 def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0, 2),), period: int = 144,
                seasonal_diff: int = 1, tail_rows: int | None = None, maxiter: int = 50) -> DataFrame:
-    """Fit every order to every area: one group per area, whose series is sent once. A failed fit has NULL criteria.
+    """Fit every order to every area: one row per area, whose series is an array and sent once. A failed fit has NULL criteria.
 
     Seasonal AR and MA terms are not estimated. Fitting happens once; the test week is then
     predicted one step ahead with the fitted parameters and the actual past.
@@ -177,14 +196,13 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
         if d < 0:
             raise ValueError("d must not be negative")
     ship_package(series.sparkSession)
-    rows = _with_history(series, split, period, seasonal_diff, tail_rows).select("area_id", "ts", "place", "value", "lagged", "diff", "is_test")
-
-    def of_area(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        return pd.DataFrame([of_order(rows, *order) for order in orders])
+    rows = _with_history(series, split, period, seasonal_diff, tail_rows)
+    each = rows.groupBy("area_id").agg(F.sort_array(F.collect_list(F.struct("place", "diff", "is_test"))).alias("points"),
+                                       F.sort_array(F.collect_list(F.when(F.col("is_test"), F.struct("place", "ts", "value", "lagged")))).alias("week"))
+    areas = each.select("area_id", F.col("points.diff").alias("diff"), F.col("points.is_test").alias("is_test"), F.col("week.ts").alias("ts"),
+                        F.col("week.value").alias("y_true"), F.col("week.lagged").alias("lagged"))
 
-    def of_order(rows: pd.DataFrame, p: int, d: int, q: int) -> dict:
-        y, test = rows["diff"].to_numpy(), rows["is_test"].to_numpy(dtype=bool)
+    def of_order(y: np.ndarray, test: np.ndarray, p: int, d: int, q: int) -> dict:
         ahead = np.full(test.sum(), np.nan)
         fit, begin = None, time.perf_counter()
         try:
@@ -196,18 +214,29 @@ def fit_orders(series: DataFrame, split: Split, orders: Sequence[Order] = ((2, 0
         except (ValueError, np.linalg.LinAlgError):
             trained = predicted = time.perf_counter()
         return {
-            "area_id": rows["area_id"].iloc[0], "p": p, "d": d, "q": q,
+            "p": p, "d": d, "q": q,
             "aic": fit.aic if fit else np.nan, "bic": fit.bic if fit else np.nan,
             "n_fit": fit.rows if fit else 0, "converged": bool(fit and fit.converged),
             "intercept": fit.intercept if fit else np.nan, "ar": list(fit.ar) if fit else None, "ma": list(fit.ma) if fit else None,
             "train_time_s": trained - begin if fit else np.nan,
             "predict_time_s": predicted - trained if fit else np.nan,
-            "ts": list(rows["ts"][test]), "y_true": rows["value"].to_numpy()[test],
-            "lagged": rows["lagged"].to_numpy()[test], "step_ahead": ahead,
+            "step_ahead": ahead,
         }
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                fits = [of_order(y.values.to_numpy(zero_copy_only=False), test.values.to_numpy(zero_copy_only=False), *order)
+                        for y, test in zip(part.column("diff"), part.column("is_test")) for order in orders]
+                source = part.take(pa.array(np.repeat(np.arange(part.num_rows), len(orders))))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([fit[f.name] for fit in fits], f.type, from_pandas=True) if f.name in fits[0] else source.column(f.name) for f in kinds
+                ], schema=kinds)
+
     orders = [tuple(order) for order in orders]
-    return spread(rows, "area_id", per_core=4).groupBy("area_id").applyInPandas(of_area, FITS)
+    kinds = to_arrow_schema(T._parse_datatype_string(FITS))
+    return spread(areas, "area_id", per_core=4).mapInArrow(run, FITS)
 
 
 def predictions(fits: DataFrame, seasonal_diff: int = 1, model: str = "SARIMA") -> DataFrame:

@@ -118,6 +118,34 @@ def test_fold_gives_the_fitted_predictions(daily):
     assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9, abs_tol=1e-9) for k in want)
 
 
+def test_fit_gets_one_row_per_area(daily):
+    """An area goes to Python as arrays; its rows are neither shuffled again nor sent one by one."""
+    frame = daily({1: noisy(1), 2: noisy(2), None: noisy(3)}, step=HOUR)
+    fits = arma.fit_orders(frame, SPLIT, [(1, 0, 0), (2, 0, 2)], 24)
+    plan = fits._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+    rows = fits.collect()
+    assert sorted((r.area_id or 0, r.p) for r in rows) == [(a, p) for a in (0, 1, 2) for p in (1, 2)]
+    assert all(len(r.ts) == len(r.y_true) == len(r.lagged) == len(r.step_ahead) == 48 and r.ts == sorted(r.ts) for r in rows)
+
+
+@pytest.mark.parametrize("n", [1, 31, 32, 33, 64, 65, 1000])
+@pytest.mark.parametrize("ma", [[0.5], [-0.9], [0.4, 0.3], [0.4, 0.1, -0.2]])
+def test_filter_by_blocks_equals_the_recursion(n, ma):
+    x = np.random.default_rng(n).normal(size=(3, n))
+    want = x.copy()
+    for t in range(n):
+        for j, m in enumerate(ma, 1):
+            if t >= j:
+                want[:, t] -= m * want[:, t - j]
+    assert np.allclose(arma._apply_inverse_ma(np.array(ma), x), want, rtol=1e-11, atol=1e-11)
+
+
+@pytest.mark.parametrize("ma", [[0.99], [-1.0], [1.2], [0.4, 0.3], [1.9, 0.95], [-1.9, 0.95], [0.5, -0.6], [0.1, 1.01], [0.0, -1.1]])
+def test_invertible_without_roots(ma):
+    assert arma._invertible(np.array(ma)) == bool(np.all(np.abs(np.roots([1.0, *ma])) < 1.0))
+
+
 def test_fold_takes_linear_time(spark):
     """A step that copies all errors before it takes minutes here."""
     rows = spark.range(60_000).select(
