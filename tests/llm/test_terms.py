@@ -210,6 +210,67 @@ def test_sanitised_texts(spark):
     assert "[phone]" in texts[200] and texts[300].endswith("Zebulon accounts") and texts[301] == ""
 
 
+def plain_whole_scan(rows, min_texts):
+    """As ``plain_scan``, with every word of a text near all its mentions."""
+    texts = [t or "" for _, t in rows]
+    terms = [{w.lower() for w in WORD.findall(t)} for t in texts]
+    df, names = Counter(t for found in terms for t in found), defaultdict(set)
+    for row, text in enumerate(texts):
+        for _, _, _, kind, value, *_ in plain_mentions(text):
+            names[kind, value].add(row)
+    n, added = len(texts), [dict() for _ in texts]
+    for named in names.values():
+        both = defaultdict(set)
+        for row in named:
+            for term in terms[row]:
+                both[term].add(row)
+        for term, in_rows in both.items():
+            if len(named) == n or len({texts[r] for r in in_rows}) < min_texts:
+                continue
+            s = math.log2(n * len(in_rows) / (len(named) * df[term])) / math.log2(n / len(named))
+            for row in in_rows if s >= disclosure.GENERALISE else ():
+                for m in WORD.finditer(texts[row]):
+                    if m.group().lower() == term and not any(b[0] < m.end() and b[2] > m.start() for b in plain_mentions(texts[row])):
+                        added[row][m.span()] = max(added[row].get(m.span(), 0.0), s)
+    return Counter(
+        (doc_id, tuple(b[:4] for b in plain_mentions(texts[row])),
+         tuple(sorted((s, 5, e, "removed") if v >= disclosure.REMOVE else (s, 4, e, "generalised") for (s, e), v in added[row].items())))
+        for row, (doc_id, _) in enumerate(rows))
+
+
+def far_corpus():
+    """Names that stand 40 words before an address, after it beyond another match, and in a text without it."""
+    rng = random.Random(12)
+    say = lambda k: " ".join(f"word{rng.randrange(200)}" for _ in range(k))
+    rows = corpus() + [(400 + i, f"Ottokar \U0001f600 {say(40)} ok@corp.example.org {say(3)} other{i}@corp.example.org {say(30)} ottokar, Brun") for i in range(4)]
+    return rows + [(410, f"{say(10)} Ottokar Brun"), (411, f"{say(10)} Brun")]
+
+
+def test_whole_texts_equal_brute_force(spark):
+    rows = far_corpus()
+    for min_texts in (3, 1):
+        got = Counter(
+            (r.doc_id, tuple(tuple(s) for s in r.base), tuple(tuple(s) for s in r.added))
+            for r in disclosure.scan(documents(spark, rows), min_texts, whole=True).collect())
+        assert got == plain_whole_scan(rows, min_texts)
+
+
+def test_far_names_disclose_in_whole_texts(spark):
+    docs = documents(spark, far_corpus())
+    near, whole = ({r.doc_id: r.text for r in disclosure.sanitise(docs, whole=w).collect()} for w in (False, True))
+    assert all("ttokar" in near[400 + i] and "ttokar" not in whole[400 + i] and "Brun" not in whole[400 + i] for i in range(4))
+    assert whole[410].endswith("Ottokar Brun") and "Quist" not in whole[100]
+
+
+def test_whole_texts_with_odd_letters_and_no_mentions(spark):
+    """Words whose lower case depends on their neighbours, or is longer, are known as they stand; tables without evidence give no spans."""
+    rows = [(i, f"\u0130zmir \u0391\u03a3.\u0392 {i} fine words{i} here odd@corp.example.org") for i in range(4)] + [(10 + i, f"fine words{i} here") for i in range(60)]
+    added = {r.doc_id: [(s.start, s.end) for s in r.added] for r in disclosure.scan(documents(spark, rows), whole=True).collect()}
+    assert all(added[i] == [(0, 5), (6, 8), (9, 10)] for i in range(4)) and not any(added[10 + i] for i in range(60))
+    assert disclosure.scan(documents(spark, []), whole=True).count() == 0
+    assert [r.added for r in disclosure.scan(documents(spark, [(1, None), (2, "a@b.cd e")]), whole=True).orderBy("doc_id").collect()] == [[], []]
+
+
 @pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "a@b" + ".c" * 50_000, "1 " * 100_000, "+1" + " " * 100_000, "x@y.zz " * 3000])
 def test_long_texts_take_linear_time(spark, text):
     (got,) = disclosure.scan(documents(spark, [(1, text)])).collect()
