@@ -288,17 +288,15 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS) ->
     ).select("k1", "n_shingles", "grp", "copies", "first.doc_id"), "classes")
     groups = stored(filled.select("grp", "n_shingles", "trusted", "prefix").distinct(), "groups")
     crowded = classes.groupBy("grp").count().filter("count > 1").select(F.col("grp").alias("node"), F.col("grp").alias("component"))
-    blocks = stored(components(candidate_edges(groups, percent)).unionByName(crowded).groupBy("node").agg(
-        F.min("component").alias("block")), "blocks")
+    blocks = components(candidate_edges(groups, percent)).unionByName(crowded).groupBy("node").agg(F.min("component").alias("block"))
     discard(groups)
     inside = stored(classes.join(blocks, F.col("grp") == F.col("node")).select("block", "k1", "doc_id", "n_shingles", "copies"), "inside")
     dealt = stored(tiles(inside, percent), "tiles")
-    wanted = stored(dealt.select("doc_id").distinct(), "wanted")
-    texts = docs.select("doc_id", "text").join(broadcast_ids(wanted), "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(broadcast_ids(inside.select("doc_id")), "doc_id", "left_semi")
     columns = ("tile", "side", "k1", "copies", "text")
     nameless = dealt.filter("doc_id IS NULL").join(texts_without_id(docs, words), "k1").select(*columns)
     linked = stored(verified(dealt.join(texts, "doc_id").select(*columns).unionByName(nameless), percent, words), "links")
-    found = stored(components(linked.select(F.col("k1").alias("a"), F.col("root").alias("b"))), "components")
+    found = components(linked.select(F.col("k1").alias("a"), F.col("root").alias("b")))
     degree = linked.groupBy("k1").agg(F.sum("links").alias("links"))
     with_label = classes.select("k1", "n_shingles", "doc_id", "copies").join(
         found.withColumnRenamed("node", "k1"), "k1", "left").join(degree, "k1", "left")

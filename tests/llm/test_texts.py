@@ -246,6 +246,34 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_edges_in_one_task_need_no_round(spark, monkeypatch):
+    labels, store = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda df, label: (labels.append(label), store(df, label))[1])
+    edges = [(k, k + 1) for k in range(1, 40)] + [(90, k) for k in range(50, 90)] + [(None, 3), (95, None)]
+    found = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long").coalesce(1)).collect()}
+    assert found == {**{k: 1 for k in range(1, 41)}, **{k: 50 for k in range(50, 91)}}
+    assert len(labels) == 2
+
+
+@pytest.mark.parametrize("kind, at_once", [("long", 1 << 18), ("binary", 7), ("long", 2)])
+def test_components_of_scattered_edges(spark, monkeypatch, kind, at_once):
+    rng = np.random.default_rng(at_once)
+    path, hub = [(k, k + 1) for k in range(60)], [(100, k) for k in range(101, 180)] + [(179, k) for k in range(180, 240)]
+    pairs = [*path, *hub, *((300 + int(a), 300 + int(b)) for a, b in rng.integers(0, 120, (70, 2)))] * 2
+    names = [int(x) for x in rng.permutation(500) - 250] if kind == "long" else [bytes([x % 251, x // 251, 200]) for x in rng.permutation(500).tolist()]
+    edges = [(names[a], names[b]) for a, b in (pairs[k] for k in rng.permutation(len(pairs)))]
+    want = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in want:
+        for a, b in edges:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    monkeypatch.setattr(components, "EDGES_AT_ONCE", at_once)
+    frame = spark.createDataFrame(edges, f"a {kind}, b {kind}").repartition(9)
+    node = (lambda x: x) if kind == "long" else bytes
+    rows = components.components(frame).collect()
+    assert len(rows) == len(want) and {node(r.node): node(r.component) for r in rows} == want
+
+
 # --- substrings --------------------------------------------------------------------------------
 
 def brute_removal(rows, n):
